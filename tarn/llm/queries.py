@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, packing, simhash, suffix_dedup
+from . import chat, decontaminate, html_text, language, licenses, lm, packing, simhash, suffix_dedup, topk
 from .common import table
 
 
@@ -18,20 +18,40 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_all(table(spark, sf_dir, "documents"))
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_chat_formatting": chat.ORACLE, "op8_exact_top_k": topk.ORACLE, "op10_license_scan": licenses.ORACLE}
