@@ -37,7 +37,7 @@ from .common import arrow_map, cut, same_row, small_batches, with_key
 
 LENGTH = 400
 GRAM = 16
-GAP = 192
+GAP = 128
 #: Bytes hashed at a time; a longer document is a chunk of its own.
 CHUNK = 1 << 21
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
