@@ -17,9 +17,13 @@ def commit_path(root: str, version: int) -> str:
     return f"{root}/{LOG_DIR}/{version:020d}.json"
 
 
+def _lines(rows: DataFrame) -> list[str]:
+    return [r[0] for r in rows.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns)))).collect()]
+
+
 def write_json_file(spark: SparkSession, path: str, rows: DataFrame | list[dict], overwrite: bool = False) -> None:
     """A JSON object a line. rows of a DataFrame are collected: a commit is small and written at once."""
-    lines = rows.toJSON().collect() if isinstance(rows, DataFrame) else [json.dumps(r, separators=(",", ":")) for r in rows]
+    lines = _lines(rows) if isinstance(rows, DataFrame) else [json.dumps(r, separators=(",", ":")) for r in rows]
     Storage(spark).write(path, "".join(x + "\n" for x in lines).encode(), overwrite)
 
 
@@ -54,7 +58,7 @@ def write_checkpoint(spark: SparkSession, root: str, version: int, parts: int =
 
     if v2:
         sidecars = stored(files, parts, lambda i: f"_sidecars/{uuid.uuid4()}.parquet")
-        rows = [json.loads(x) for x in one.toJSON().collect()]
+        rows = [json.loads(x) for x in _lines(one)]
         rows += [{"checkpointMetadata": {"version": version}}]
         rows += [{"sidecar": {"path": p.rsplit("/", 1)[-1], "sizeInBytes": 0, "modificationTime": 0}} for p in sidecars]
         out = [f"{folder}/{version:020d}.checkpoint.{uuid.uuid4()}.json"]
