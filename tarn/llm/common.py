@@ -66,3 +66,11 @@ def with_key(docs: DataFrame, *more: str) -> DataFrame:
 
 def same_row(a: DataFrame, b: DataFrame):
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name

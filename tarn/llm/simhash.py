@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, with_key
+from .common import arrow_map, cut, free_name, with_key
 from .components import components
 
 BITS = 64
@@ -287,8 +287,9 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE, words: int = WORDS) -> D
     """docs without near-duplicates: of each component the row with the smallest doc_id; of equal rows one."""
     prints, _, names = classes_of(docs, distance, words)
     kept = cut(names.select("least.doc_id", "least.text_hash"), "kept")
-    docs = docs.withColumn("_hash", F.xxhash64("text"))
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]) & (docs["_hash"] == kept["text_hash"]), "left_semi")
+    hashed = free_name(docs, "_hash")
+    docs = docs.withColumn(hashed, F.xxhash64("text"))
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]) & (docs[hashed] == kept["text_hash"]), "left_semi")
     if prints.groupBy("doc_id", "text_hash").count().where("count > 1").head(1):
-        out = out.dropDuplicates(["doc_id", "_hash"])
-    return out.drop("_hash")
+        out = out.dropDuplicates(["doc_id", hashed])
+    return out.drop(hashed)
