@@ -6,8 +6,8 @@ embedding and layer are one table of logits by bucket, so that a whole text of a
 
 Training: at most SAMPLE labelled rows a language (in expectation, by a hash of the row; never more than twice that in
 all), texts of at most SAMPLE_CHARS characters; the sample is the only thing collected. A tenth of it is held back to set
-the softmax temperature and the threshold below which a prediction is rejected: the confidence that all but one in a
-thousand right predictions reach, one half at most.
+the softmax temperature and, if it is large enough to tell, the threshold below which a prediction is rejected: the
+confidence that all but REJECTED of the right predictions reach, one half at most.
 
 Cases: a null text, or one without a letter, is `und` with score 0 and rejected; without any labelled row everything is
 `und`; null labels are not learned from; a null doc_id counts as not held out; repeated rows are each predicted.
@@ -30,6 +30,7 @@ SAMPLE = 400
 SAMPLE_CHARS = 8000
 EPOCHS = 4
 RATE = 8.0
+REJECTED = 0.01
 UNKNOWN = "und"
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -130,8 +131,9 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
         model.temperature = float(min(scales, key=lambda t: -np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean()))
         p = _softmax(logits / model.temperature)
         right = p.max(axis=1)[p.argmax(axis=1) == truth]
-        if len(right):
-            model.threshold = float(min(0.5, np.quantile(right, 0.001)))
+        k = int(REJECTED * (len(right) + 1))
+        if k:
+            model.threshold = float(min(0.5, np.sort(right)[k - 1]))
     return model
 
 
