@@ -5,9 +5,9 @@ length stand for each other. A child takes whole well-filled bins from one paren
 other parent whose pieces are still there (which removes duplicates), and best-fits the pieces this displaces.
 
 Islands: every task evolves its own pieces, ISLAND of them at a time. After an epoch, full sequences are settled;
-the pieces of the others move to islands drawn anew, and the commonest well-filled bins of all islands (the elite, at
+the pieces of the others, far fewer, move to islands drawn anew and GROWTH times as large, and the commonest well-filled bins of all islands (the elite, at
 most ELITE length patterns) move with them and are injected into the first generation there. An island's memory is
-bounded by ISLAND, the broadcast by ELITE.
+bounded by ISLAND and GROWTH, the broadcast by ELITE.
 
 Cases: null text counts as empty and still holds the end id; an empty table gives no rows; rows with an equal doc_id
 are packed each for itself; other columns are ignored.
@@ -29,6 +29,7 @@ from .common import arrow_map, cut
 CAPACITY = 1024
 END_ID = 2
 ISLAND = 8192
+GROWTH = 4
 ELITE = 256
 EPOCHS = 3
 POPULATION = 4
@@ -210,10 +211,12 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = Non
         elite = [tuple(map(int, r.pattern.split(","))) for r in now.where(full & F.col("pattern").isNotNull()).groupBy("pattern").count().orderBy(F.desc("count"), "pattern").limit(ELITE).collect()]
         elite = [b for b in elite for _ in range(4)]
 
-        def again(batches, epoch=epoch, elite=elite):
-            yield from _islands(({c: b.column(c).to_pylist() for c in names} for b in batches), elite, epoch, island, capacity)
+        size = island * GROWTH**epoch
 
-        now = cut(arrow_map(open_.repartition(-(-n // island)), again, PLACED), "pack")
+        def again(batches, epoch=epoch, elite=elite, size=size):
+            yield from _islands(({c: b.column(c).to_pylist() for c in names} for b in batches), elite, epoch, size, capacity)
+
+        now = cut(arrow_map(open_.repartition(-(-n // size)), again, PLACED), "pack")
     done.append(now)
     out = done[0]
     for x in done[1:]:
