@@ -22,8 +22,6 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
-
 # Phrases and labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 # What licences and their notices say, in public texts of theirs.
@@ -106,7 +104,7 @@ def similar(keyed: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     templates, prefixes = template_index(frequencies(keyed), containment)
     rare = F.array(*(F.lit(w) for w in sorted({w for w, _, _ in prefixes})))
     words = lambda c: F.split(_lower(spaced(c)), " ")
-    candidates = cut(keyed.where(F.arrays_overlap(words(F.col("text")), rare)), "candidates")
+    candidates = keyed.where(F.arrays_overlap(words(F.col("text")), rare))
     blocks = F.array_distinct(F.concat(F.split("text", "\n"), F.split("text", r"\n[ \t\r]*\n")))
     blocks = candidates.select("doc_id", "text_hash", F.explode(blocks).alias("block")).select("doc_id", "text_hash", F.array_distinct(words(F.col("block"))).alias("words")).where(F.arrays_overlap("words", rare))
     index = spark.createDataFrame([(w, k, i, templates[k][1], templates[k][2], templates[k][3]) for w, k, i in prefixes], "word string, template int, place int, label string, of array<string>, need int")
@@ -125,7 +123,7 @@ def similar(keyed: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
 def scan(docs: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every row."""
     keyed = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
-    rows, met = cut(base(keyed), "base"), cut(similar(keyed, containment), "similar")
+    rows, met = base(keyed), similar(keyed, containment)
     joined = rows.join(met, rows["doc_id"].eqNullSafe(met["doc_id"]) & (rows["text_hash"] == met["text_hash"]), "left")
     labels = F.array_sort(F.array_distinct(F.concat("base_labels", F.coalesce("found", F.array().cast("array<string>")))))
     return joined.select(
