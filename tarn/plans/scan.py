@@ -24,6 +24,8 @@ MAX_BRANCHES = 64
 #: Rows of the table of files, or of deleted rows, that may be broadcast: both counts are known from the log.
 BROADCAST_FILES = 20_000
 BROADCAST_DELETED = 2_000_000
+#: Files of a version whose list a snapshot may keep.
+MEMO_FILES = 100_000
 _PHYSICAL, _ID = "delta.columnMapping.physicalName", "delta.columnMapping.id"
 
 
@@ -160,15 +162,19 @@ def live_files(snapshot: Snapshot, where: predicate.Expr | None = None) -> DataF
 def chosen(snapshot: Snapshot, where: predicate.Expr | None = None) -> list[DataFile]:
     """The file list of a scan, which the reader needs on the driver as it does for any table. Files all of whose rows
     are deleted are not in it."""
+    if where is None and snapshot.memo.get("files") is not None:
+        return snapshot.memo["files"]
     mode = snapshot.metadata.mapping_mode
     names = [physical_name(snapshot.schema[c], mode) for c in snapshot.metadata.partition_columns]
-    rows = live_files(snapshot, where).select("path", "size", "partitionValues", "deletionVector", F.get_json_object("stats", "$.numRecords").cast("long").alias("records")).orderBy("path").collect()
+    rows = live_files(snapshot, where).select("path", "size", "partitionValues", "deletionVector", F.get_json_object("stats", "$.numRecords").cast("long").alias("records")).collect()
     out = []
-    for r in rows:
+    for r in sorted(rows, key=lambda r: r.path):
         values = r.partitionValues or {}
         if r.deletionVector and r.records is not None and r.deletionVector.cardinality == r.records:
             continue
         out.append(DataFile(resolved(snapshot.root, r.path), r.size, tuple(values.get(n) for n in names), r.deletionVector, r.records))
+    if where is None and len(out) <= MEMO_FILES:
+        snapshot.memo["files"] = out
     return out
 
 

@@ -15,10 +15,13 @@ from pyspark.sql import types as T
 from .functions import compat, sign_url
 from .operators import vacuum
 from .plans import predicate, scan, sqlext
-from .sources import catalog, snapshot
+from .sources import catalog, log, snapshot
+from .sources.storage import Storage, normalised
 
 PREFIX = "spark.lakehouse."
 DEFAULTS = {"delta.enableCaching": "false", "delta.retentionDurationCheck.enabled": "true"}
+#: Table versions a session remembers.
+SNAPSHOTS = 64
 CREATED = T.StructType([T.StructField(n, T.StringType(), False) for n in ("securable_name", "securable_type", "securable_object")])
 DROPPED = T.StructType([T.StructField(n, T.StringType(), False) for n in ("securable_name", "securable_type", "status")])
 
@@ -41,6 +44,7 @@ class LakehouseSession:
         self._client: catalog.CatalogClient | None = None
         self._given: catalog.CatalogClient | None = None
         self._credentials: Callable[[str], dict] | None = None
+        self._snapshots: dict[log.LogSegment, snapshot.Snapshot] = {}
         sign_url.register(spark)
 
     def _options(self, catalog_client=None, credentials: Callable[[str], dict] | None = None, signers=None, compatibility: bool = False) -> None:
@@ -73,9 +77,17 @@ class LakehouseSession:
         return url
 
     def snapshot(self, url: str, version: int | None = None) -> snapshot.Snapshot:
-        found = snapshot.load(self.spark, self._open(url), version)
-        if self.conf("delta.enableCaching") == "true":
-            found.reconciled.cache()
+        """The log is listed each time; a version whose log files are the same as before is not read again."""
+        root = normalised(self._open(url))
+        seg = log.segment(Storage(self.spark), root, version)
+        found = self._snapshots.pop(seg, None)
+        if found is None:
+            found = snapshot.load(self.spark, root, version, seg)
+            if self.conf("delta.enableCaching") == "true":
+                found.reconciled.cache()
+        self._snapshots[seg] = found
+        while len(self._snapshots) > SNAPSHOTS:
+            del self._snapshots[next(iter(self._snapshots))]
         return found
 
     def read(self, url: str, version: int | None = None, where: str | predicate.Expr | None = None, columns: list[str] | None = None) -> DataFrame:

@@ -65,6 +65,8 @@ class Snapshot:
     metadata: Metadata
     segment: log.LogSegment
     reconciled: DataFrame
+    #: What was worked out from this version and need not be again.
+    memo: dict = field(default_factory=dict, compare=False, repr=False)
 
     @property
     def schema(self) -> T.StructType:
@@ -125,10 +127,10 @@ def _newest(actions: DataFrame) -> tuple[Protocol | None, Metadata | None]:
     return p, m
 
 
-def load(spark: SparkSession, url: str, version: int | None = None) -> Snapshot:
+def load(spark: SparkSession, url: str, version: int | None = None, seg: log.LogSegment | None = None) -> Snapshot:
     """The newest version, or the one asked for."""
     root = normalised(url)
-    seg = log.segment(Storage(spark), root, version)
+    seg = seg or log.segment(Storage(spark), root, version)
     acts = log.actions(spark, seg)
     protocol, metadata = _newest(acts)
     if protocol is None or metadata is None:
@@ -149,4 +151,4 @@ def refresh(snapshot: Snapshot) -> Snapshot:
     before = snapshot.reconciled.withColumn("version", F.lit(snapshot.version).cast("long"))
     rows = before.unionByName(fresh.select("add", "remove", "version"))
     seg = replace(snapshot.segment, version=new[-1][0], commits=(*snapshot.segment.commits, *(p for _, p in new)))
-    return replace(snapshot, version=new[-1][0], protocol=protocol, metadata=metadata, segment=seg, reconciled=reconcile(rows))
+    return replace(snapshot, version=new[-1][0], protocol=protocol, metadata=metadata, segment=seg, reconciled=reconcile(rows), memo={})
