@@ -447,3 +447,33 @@ def sql_compat_functions(spark, sf_dir):
     compat.register(spark)
     _views(spark, sf_dir)
     return spark.sql("SELECT n_nationkey, gcd(n_nationkey, 12) AS g, lcm(n_nationkey, 12) AS l, starts_with(n_name, 'A') AS sw, strpos(n_name, 'A') AS sp, to_hex(n_nationkey) AS hx, sha256(n_name) AS sh, trunc_number(n_nationkey - 12.5) AS tr FROM nation")
+
+
+@query("SELECT n_nationkey, n_name, CAST(NULL AS VARCHAR) AS missing FROM nation WHERE n_regionkey = 1")
+def engine_read_parquet(spark, sf_dir):
+    from .sources import readers
+
+    want = T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()), T.StructField("n_regionkey", T.IntegerType()), T.StructField("missing", T.StringType())])
+    return readers.read_parquet_files(spark, [f"{sf_dir}/nation.parquet"], want, p.eq(p.col("n_regionkey"), p.lit(1))).drop("n_regionkey")
+
+
+@query("SELECT CAST(4 AS BIGINT) AS adds, CAST(1 AS BIGINT) AS removes")
+def engine_read_json(spark, sf_dir):
+    from .sources import log, readers
+
+    seg = LakehouseSession(spark).snapshot(fixtures.path_of(spark, sf_dir, "multi_commit")).segment
+    return readers.read_json_files(spark, list(seg.commits), log.ACTIONS).agg(F.count("add").alias("adds"), F.count("remove").alias("removes"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k FROM events")
+def engine_parse_json(spark, sf_dir):
+    from .sources import readers
+
+    parsed = readers.parse_json(F.col("props"), T.StructType([T.StructField("k", T.StringType())]))
+    return _source(spark, sf_dir, "events").select("event_id", parsed["k"].alias("k"))
+
+
+@query("SELECT n_nationkey FROM nation WHERE n_name IS DISTINCT FROM 'CHINA' AND n_regionkey IN (1, 2) AND NOT (n_nationkey >= 20 OR n_nationkey <> n_nationkey)")
+def predicate_superset(spark, sf_dir):
+    e = p.conjunction([p.distinct(p.col("n_name"), p.lit("CHINA")), p.In(p.col("n_regionkey"), (p.lit(1), p.lit(2))), ~(p.ge(p.col("n_nationkey"), p.lit(20)) | p.ne(p.col("n_nationkey"), p.col("n_nationkey")))])
+    return _source(spark, sf_dir, "nation").where(p.to_column(e)).select("n_nationkey")

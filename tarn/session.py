@@ -1,12 +1,13 @@
 """A Spark session with lakehouse tables, the SQL extension and its configuration.
 
-Configuration keys, each under spark.lakehouse.: unity.uri, unity.token, delta.enableCaching (false),
-delta.retentionDurationCheck.enabled (true).
+Configuration keys, each under spark.lakehouse.: unity.uri, unity.token, delta.enable_caching (false),
+delta.retention_duration_check.enabled (true). Names may be in camel case too.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from .sources import catalog, log, snapshot
 from .sources.storage import Storage, normalised
 
 PREFIX = "spark.lakehouse."
-DEFAULTS = {"delta.enableCaching": "false", "delta.retentionDurationCheck.enabled": "true"}
+DEFAULTS = {"delta.enable_caching": "false", "delta.retention_duration_check.enabled": "true"}
 #: Table versions a session remembers.
 SNAPSHOTS = 64
 CREATED = T.StructType([T.StructField(n, T.StringType(), False) for n in ("securable_name", "securable_type", "securable_object")])
@@ -59,7 +60,8 @@ class LakehouseSession:
             compat.register(self.spark)
 
     def conf(self, key: str) -> str | None:
-        return self.spark.conf.get(PREFIX + key, DEFAULTS.get(key))
+        camel = re.sub(r"_(.)", lambda m: m[1].upper(), key)
+        return self.spark.conf.get(PREFIX + key, self.spark.conf.get(PREFIX + camel, DEFAULTS.get(key)))
 
     @property
     def client(self) -> catalog.CatalogClient:
@@ -83,7 +85,7 @@ class LakehouseSession:
         found = self._snapshots.pop(seg, None)
         if found is None:
             found = snapshot.load(self.spark, root, version, seg)
-            if self.conf("delta.enableCaching") == "true":
+            if self.conf("delta.enable_caching") == "true":
                 found.reconciled.cache()
         self._snapshots[seg] = found
         while len(self._snapshots) > SNAPSHOTS:
@@ -134,7 +136,7 @@ class LakehouseSession:
             if not s.is_path and "/" not in name and "://" not in name:
                 raise sqlext.SqlError(f"there is no table {name}")
             found = self.snapshot(name)
-        check = self.conf("delta.retentionDurationCheck.enabled") == "true"
+        check = self.conf("delta.retention_duration_check.enabled") == "true"
         return vacuum.run(vacuum.plan(found, s.mode, s.retention_hours, s.dry_run, check))
 
     def _create(self, s: sqlext.CreateCatalog) -> DataFrame:
