@@ -4,7 +4,6 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-os.environ["PYTHONPATH"] = sys.path[0] + os.pathsep + os.environ.get("PYTHONPATH", "")
 os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 SF = "/root/testdata/sf0.001"
 
