@@ -25,14 +25,26 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+#: Scratch tables written by this process.
+_written: list[str] = []
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it again: lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete the scratch tables of this process, once no result that reads them is needed any more."""
+    while _written:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
 def small_batches(spark: SparkSession) -> None:
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
