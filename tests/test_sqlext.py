@@ -52,3 +52,18 @@ def test_explain_text():
     assert str(parse_one("VACUUM t RETAIN 5 HOURS DRY RUN")) == "Vacuum: table=t mode=FULL retention_hours=5 dry_run=true"
     assert str(parse_one("DROP CATALOG IF EXISTS c CASCADE")) == "DropCatalog: name=c if_exists=true cascade=true"
     assert str(sqlext.parse_one("CREATE CATALOG c")) == "CreateCatalog: name=c"
+
+
+def test_files_by_sql(spark, sf_dir, tmp_path):
+    from tarn.session import LakehouseSession
+
+    lake = LakehouseSession(spark)
+    lake.sql(f"CREATE EXTERNAL TABLE ext_nation STORED AS PARQUET LOCATION '{sf_dir}/nation.parquet'")
+    lake.sql("CREATE EXTERNAL TABLE IF NOT EXISTS ext_nation STORED AS PARQUET LOCATION '/nowhere'")
+    assert lake.sql("SELECT count(*) AS n FROM ext_nation").first().n == 25
+    assert lake.sql(f"COPY (SELECT n_name, n_regionkey FROM ext_nation WHERE n_regionkey = (1)) TO '{tmp_path}/x.csv' OPTIONS (header true)").first()[0] == 5
+    lake.sql(f"CREATE EXTERNAL TABLE ext_csv STORED AS CSV WITH HEADER ROW LOCATION '{tmp_path}/x.csv'")
+    assert lake.sql("SELECT sum(n_regionkey) AS s FROM ext_csv").first().s == 5
+    assert lake.sql(f"COPY ext_nation TO '{tmp_path}/y' STORED AS json").first()[0] == 25
+    with pytest.raises(SqlError):
+        lake.sql("COPY ext_nation TO '/x.strange'")
