@@ -23,7 +23,7 @@ from .common import arrow_map, small_batches
 
 RATE = 0.08
 MIN_WORDS = 5
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 RESULT = "doc_id long, item_id long, edits long, item_bytes long, at_byte long"
 
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
