@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, same_row, small_batches, with_key
+from .common import arrow_map, cut, free_name, same_row, small_batches, with_key
 
 LENGTH = 400
 GRAM = 16
@@ -137,7 +137,8 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def parse(keyed: DataFrame, length: int, gap: int) -> DataFrame:
-    """The parse: a row for each trigger that owns strings."""
+    """The parse: a row for each trigger that owns strings. spot holds the first string's start, and how far from it the
+    trigger and the last string's start are, in one number, as millions of these rows travel."""
 
     def run(batches):
         for rows in _chunks(batches, ("doc_id", "text_hash", "text")):
@@ -150,25 +151,28 @@ def parse(keyed: DataFrame, length: int, gap: int) -> DataFrame:
             phrase = _mix(phrase ^ _mix(((at - first) * (gap + 1) + (last - first)).astype(np.uint64)))
             begin = np.concatenate(([0], ends[:-1]))[doc]
             ids, hashes = [rows[i][0] for i in doc], [rows[i][1] for i in doc]
-            yield {"k": signed(_mix(hasher(at, at + length - gap + 1))), "phrase": signed(phrase), "doc_id": ids, "text_hash": hashes, "place": (at - begin).astype(np.int32), "first": (first - begin).astype(np.int32), "last": (last - begin).astype(np.int32)}
+            spot = (first - begin) << 32 | (at - first) << 16 | (last - first)
+            yield {"k": signed(_mix(hasher(at, at + length - gap + 1))), "phrase": signed(phrase), "doc_id": ids, "text_hash": hashes, "spot": spot}
 
-    return arrow_map(keyed, run, "k long, phrase long, doc_id long, text_hash long, place int, first int, last int")
+    return arrow_map(keyed, run, "k long, phrase long, doc_id long, text_hash long, spot long")
 
 
 def strings(packed: DataFrame, length: int) -> DataFrame:
-    """The strings of the phrases to take apart: packed has ztext and todo, a list of (k, place, first, last)."""
+    """For each phrase to take apart, the fingerprints of its strings in order. packed has ztext and todo, a list of
+    (k, place, first, last)."""
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
+            rows = []
             for doc_id, text_hash, z, todo in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "ztext", "todo")), strict=True):
                 hasher = Hasher(np.frombuffer(unpack.decompress(z), np.uint8))
                 for t in todo:
                     s = np.arange(t["first"], t["last"] + 1)
-                    w = signed(_mix(hasher(s, s + length) ^ _mix((t["place"] - s).astype(np.uint64))))
-                    yield {"k": np.full(len(s), t["k"]), "w": w, "doc_id": [doc_id] * len(s), "text_hash": np.full(len(s), text_hash), "start": s.astype(np.int32)}
+                    rows.append((t["k"], doc_id, text_hash, t["first"], signed(_mix(hasher(s, s + length) ^ _mix((t["place"] - s).astype(np.uint64))))))
+            yield {c: [r[i] for r in rows] for i, c in enumerate(("k", "doc_id", "text_hash", "first", "prints"))}
 
-    return arrow_map(packed, run, "k long, w long, doc_id long, text_hash long, start int")
+    return arrow_map(packed, run, "k long, doc_id long, text_hash long, first int, prints array<long>")
 
 
 def spans_of(lists, length: int) -> list[tuple[int, int]]:
@@ -198,23 +202,42 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gap: int = GAP) -> Da
     """doc_id, text_hash, ranges: the ranges (first, last) of starts of repeated strings of each document that has any."""
     if not GRAM <= gap <= length - GRAM:
         raise ValueError("gap must be at least GRAM and leave GRAM bytes of a string")
+    if gap > 1 << 15:
+        raise ValueError("gap must be at most 32768")
     keyed = with_key(docs)
     found = parse(keyed, length, gap)
-    groups = cut(found.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("phrase").alias("low"), F.max("phrase").alias("high")).where("n > 1").select("k", (F.col("low") != F.col("high")).alias("mixed")), "groups")
-    held = cut(found.join(groups, "k"), "held")
-    mixed = held.where("mixed")
+    groups = found.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("phrase").alias("low"), F.max("phrase").alias("high")).where("n > 1").select("k", (F.col("low") != F.col("high")).alias("mixed"))
+    first = F.shiftright("spot", 32)
+    place, last = (first + F.shiftright("spot", 16).bitwiseAND(0xFFFF)), (first + F.col("spot").bitwiseAND(0xFFFF))
+    held = _dealt(found, groups, "k").select("k", "phrase", "doc_id", "text_hash", place.cast("int").alias("place"), first.cast("int").alias("first"), last.cast("int").alias("last"), "mixed")
+    held = cut(held, "held")
+    mixed = held.where("mixed").drop("mixed")
     # a copy of each distinct phrase of a mixed group, and how many there are
-    phrases = cut(mixed.groupBy("k", "phrase").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "first")).alias("one")), "phrases")
-    told = cut(mixed.join(phrases, ["k", "phrase"]).select("k", "doc_id", "text_hash", "place", "first", "last", (F.col("n") > 1).alias("whole"), (F.struct("doc_id", "text_hash", "first").eqNullSafe(F.col("one"))).alias("take")), "told")
+    phrases = mixed.groupBy("k", "phrase").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "first")).alias("one"))
+    told = _dealt(mixed, phrases, "k", "phrase").select("k", "doc_id", "text_hash", "place", "first", "last", (F.col("n") > 1).alias("whole"), (F.struct("doc_id", "text_hash", "first").eqNullSafe(F.col("one"))).alias("take"))
+    told = cut(told, "told")
     todo = told.where("take").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("k", "place", "first", "last")).alias("todo"))
-    texts = zipped(keyed)
-    parts = cut(strings(_joined_to(texts, todo, "inner"), length), "strings")
-    twice = cut(parts.groupBy("k", "w").count().where("count > 1").select("k", "w"), "twice")
-    starts = parts.join(twice, ["k", "w"]).select("doc_id", "text_hash", F.col("start").alias("first"), F.col("start").alias("last"))
+    # the phrase's number is stored with it; a string is known by that number and its place in the phrase
+    parts = cut(strings(_joined_to(zipped(keyed), todo, "inner"), length).withColumn("phrase", F.monotonically_increasing_id()), "strings")
+    each = parts.select("k", "phrase", F.posexplode("prints").alias("at", "w")).select("k", "w", "phrase", "at")
+    twice = each.groupBy("k", "w").count().where("count > 1").select("k", "w")
+    found_twice = _dealt(each, twice, "k", "w").groupBy("phrase").agg(F.collect_list("at").alias("at"))
+    starts = parts.select("phrase", "doc_id", "text_hash", "first").join(found_twice, "phrase").select("doc_id", "text_hash", F.explode("at").alias("at"), "first")
+    starts = starts.select("doc_id", "text_hash", (F.col("first") + F.col("at")).alias("first")).withColumn("last", F.col("first"))
     whole = held.where("not mixed").select("doc_id", "text_hash", "first", "last").unionByName(told.where("whole").select("doc_id", "text_hash", "first", "last"))
     return whole.unionByName(starts).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
 
 
+def _dealt(rows: DataFrame, sums: DataFrame, *key: str) -> DataFrame:
+    """rows joined with sums by key. Both are dealt out by the keys' complements: an aggregation by the keys themselves
+    would be joined where its rows lie, and then Spark could not split a key that many rows have."""
+    odd = [F.bitwise_not(k).alias(f"_{k}") for k in key]
+    left = rows.select(*odd, *(c for c in rows.columns if c not in key))
+    right = sums.select(*odd, *(c for c in sums.columns if c not in key))
+    joined = left.join(right, [f"_{k}" for k in key])
+    return joined.select(*(F.bitwise_not(f"_{k}").alias(k) for k in key), *(c for c in joined.columns if c not in {f"_{k}" for k in key}))
+
+
 def _joined_to(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     column = lists.columns[-1]
     return texts.join(lists, same_row(texts, lists), how).select(texts["doc_id"], texts["text_hash"], "ztext", column)
@@ -232,12 +255,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, gap: int = GAP, with_text: bool
             for doc_id, z, r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ztext", "ranges")), strict=True):
                 data = unpack.decompress(z)
                 cuts = spans_of([(x["first"], x["last"]) for x in r or ()], length)
-                kept, at = [], 0
+                parts, at = [], 0
                 for a, b in cuts:
-                    kept.append(data[at:a])
+                    parts.append(data[at:a])
                     at = b
-                kept.append(data[at:])
-                left = b"".join(kept)
+                parts.append(data[at:])
+                left = b"".join(parts)
                 row = (doc_id, len(data), len(data) - len(left), len(cuts), hashlib.sha256(left).hexdigest(), left.decode(errors="replace") if with_text else None)
                 for c, v in zip(out, row, strict=True):
                     out[c].append(v)
@@ -248,22 +271,24 @@ def dedup(docs: DataFrame, length: int = LENGTH, gap: int = GAP, with_text: bool
 
 def rewritten(docs: DataFrame, length: int = LENGTH, gap: int = GAP) -> DataFrame:
     """docs with text, and n_chars if there is one, as dedup leaves them; other columns and rows stay. A null text stays null."""
-    docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    ranges = cut(repeated_starts(docs.drop("text_hash"), length, gap), "ranges")
-    joined = docs.join(ranges.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_hash", "_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
-    joined = joined.drop("_id", "_hash", "text_hash")
-    schema = docs.drop("text_hash").schema
+    ranges = repeated_starts(docs, length, gap)
+    schema = docs.schema
+    hashed, column = free_name(docs, "_hash"), free_name(docs, "_ranges")
+    keyed = docs.withColumn(hashed, F.xxhash64("text"))
+    ranges = ranges.withColumnRenamed("ranges", column)
+    joined = keyed.join(ranges, keyed["doc_id"].eqNullSafe(ranges["doc_id"]) & (keyed[hashed] == ranges["text_hash"]), "left")
+    joined = joined.select(*(keyed[c] for c in docs.columns), column)
 
     def run(batches):
         for batch in batches:
             texts, sizes = [], []
-            for text, r in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
+            for text, r in zip(batch.column("text").to_pylist(), batch.column(column).to_pylist(), strict=True):
                 if r:
-                    data, at, kept = text.encode(), 0, []
+                    data, at, left = text.encode(), 0, []
                     for a, b in spans_of([(x["first"], x["last"]) for x in r], length):
-                        kept.append(data[at:a])
+                        left.append(data[at:a])
                         at = b
-                    text = b"".join((*kept, data[at:])).decode(errors="ignore")
+                    text = b"".join((*left, data[at:])).decode(errors="ignore")
                 texts.append(text)
                 sizes.append(None if text is None else len(text))
             new = {"text": pa.array(texts, pa.string())}
