@@ -1,14 +1,16 @@
 """VACUUM: files of a table's folder that no version within the retention time needs.
 
-Candidates are listed through the file system and compared with live files and unexpired tombstones by an anti join, so
+Candidates are listed by Spark's file index and compared with live files and unexpired tombstones by an anti join, so
 live files, their deletion vectors and recently removed files are never among them. LITE takes expired tombstones from the
 log instead of listing. Deleting runs on the driver through the file system's own connections.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import timedelta
 
@@ -17,10 +19,12 @@ from pyspark.sql import functions as F
 
 from ..sources import deletion_vectors as dv
 from ..sources.snapshot import Snapshot
-from ..sources.storage import Storage, resolved
+from ..sources.storage import Storage, glob_safe, resolved
 
 DEFAULT_RETENTION = timedelta(days=7)
 DRY_RUN_FILES = 1000
+#: Files deleted at a time.
+DELETERS = 16
 PROPERTY = "delta.deletedFileRetentionDuration"
 METRICS = "metric_name string not null, metric_value string not null"
 
@@ -99,11 +103,6 @@ def _needed(plan: VacuumPlan) -> DataFrame:
     return rows.mapInPandas(run, "at string")
 
 
-def _plain(path: str) -> str:
-    """Without a file system's name, as log entries resolve."""
-    return re.sub(r"^file:/+", "/", path)
-
-
 def candidates(plan: VacuumPlan) -> DataFrame:
     """path, length, modification_time of files to delete."""
     snapshot = plan.snapshot
@@ -113,20 +112,12 @@ def candidates(plan: VacuumPlan) -> DataFrame:
         at = F.udf(lambda p: resolved(root, p), "string")
         rows = expired.select(at("path").alias("path"), F.lit(None).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modification_time"))
         return rows.join(_needed(plan), F.col("path") == F.col("at"), "left_anti")
-    parts = set(snapshot.metadata.partition_columns)
-
-    def hidden(relative: str) -> bool:
-        return any(p[0] in "_." and not (p[0] == "_" and p.split("=")[0] in parts and "=" in p) for p in relative.split("/") if p)
-
-    storage = Storage(spark)
-    found = []
-    base = _plain(storage.qualified(root))
-    for f in storage.walk(root):
-        path = _plain(f.path)
-        # vector files are hidden by no sign, but log and other hidden folders are
-        if f.modified_ms < plan.cutoff_ms and not hidden(path[len(base) :]):
-            found.append((root + path[len(base) :], f.length, f.modified_ms))
-    rows = spark.createDataFrame(found, "path string, length long, ms long").select("path", "length", F.timestamp_millis("ms").alias("modification_time"))
+    # Spark lists folders in parallel and leaves out what starts with "_" or ".", partition folders such as _x=1 apart;
+    # no file is opened, as its content is not asked for
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(glob_safe(root)).select("path", "length", "modificationTime")
+    path = F.regexp_replace("path", "^file:/+", "/") if root.startswith("/") else F.col("path")
+    old = listed.where(F.unix_millis("modificationTime") < plan.cutoff_ms)
+    rows = old.select(path.alias("path"), "length", F.col("modificationTime").alias("modification_time"))
     return rows.join(_needed(plan), F.col("path") == F.col("at"), "left_anti")
 
 
@@ -137,10 +128,12 @@ def run(plan: VacuumPlan) -> DataFrame:
     if plan.dry_run:
         return found.select("path").orderBy("path").limit(DRY_RUN_FILES)
     storage, deleted, size = Storage(spark), 0, 0
-    for r in found.toLocalIterator():
-        if storage.delete(r.path):
-            deleted += 1
-            size += r.length or 0
+    with ThreadPoolExecutor(DELETERS) as pool:
+        rows = found.select("path", "length").toLocalIterator()
+        while some := list(itertools.islice(rows, 10_000)):
+            for r, gone in zip(some, pool.map(lambda r: storage.delete(r.path), some), strict=True):
+                deleted += gone
+                size += (r.length or 0) * gone
     rows = [("numDeletedFiles", str(deleted)), ("numDeletedBytes", str(size)), ("retentionHours", f"{plan.keep.total_seconds() / 3600:g}")]
     return spark.createDataFrame(rows, METRICS)
 
