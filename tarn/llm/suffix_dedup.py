@@ -175,10 +175,13 @@ def strings(packed: DataFrame, length: int) -> DataFrame:
     return arrow_map(packed, run, "k long, doc_id long, text_hash long, first int, prints array<long>")
 
 
-def spans_of(lists, length: int) -> list[tuple[int, int]]:
-    """Maximal runs of bytes that the ranges of string starts (first, last) cover."""
+def spans_of(ranges, length: int) -> list[tuple[int, int]]:
+    """Maximal runs of bytes that repeated strings cover. A range is of starts from first to last, or of those at `at` after
+    first."""
+    starts = [(r["first"], r["last"]) for r in ranges or () if r["at"] is None]
+    starts += [(r["first"] + i, r["first"] + i) for r in ranges or () for i in r["at"] or ()]
     out: list[list[int]] = []
-    for a, b in sorted(lists):
+    for a, b in sorted(starts):
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b + length)
         else:
@@ -199,7 +202,7 @@ def zipped(keyed: DataFrame) -> DataFrame:
 
 
 def repeated_starts(docs: DataFrame, length: int = LENGTH, gap: int = GAP) -> DataFrame:
-    """doc_id, text_hash, ranges: the ranges (first, last) of starts of repeated strings of each document that has any."""
+    """doc_id, text_hash, ranges (see spans_of): where repeated strings start in each document that has any."""
     if not GRAM <= gap <= length - GRAM:
         raise ValueError("gap must be at least GRAM and leave GRAM bytes of a string")
     if gap > 1 << 15:
@@ -219,13 +222,14 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gap: int = GAP) -> Da
     todo = told.where("take").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("k", "place", "first", "last")).alias("todo"))
     # the phrase's number is stored with it; a string is known by that number and its place in the phrase
     parts = cut(strings(_joined_to(zipped(keyed), todo, "inner"), length).withColumn("phrase", F.monotonically_increasing_id()), "strings")
-    each = parts.select("k", "phrase", F.posexplode("prints").alias("at", "w")).select("k", "w", "phrase", "at")
-    twice = each.groupBy("k", "w").count().where("count > 1").select("k", "w")
-    found_twice = _dealt(each, twice, "k", "w").groupBy("phrase").agg(F.collect_list("at").alias("at"))
-    starts = parts.select("phrase", "doc_id", "text_hash", "first").join(found_twice, "phrase").select("doc_id", "text_hash", F.explode("at").alias("at"), "first")
-    starts = starts.select("doc_id", "text_hash", (F.col("first") + F.col("at")).alias("first")).withColumn("last", F.col("first"))
-    whole = held.where("not mixed").select("doc_id", "text_hash", "first", "last").unionByName(told.where("whole").select("doc_id", "text_hash", "first", "last"))
-    return whole.unionByName(starts).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
+    # half of the group's number is enough beside a fingerprint of 64 bits
+    each = parts.select(F.shiftright("k", 32).cast("int").alias("group"), F.posexplode("prints").alias("at", "w"), "phrase").select("group", "w", "phrase", "at")
+    twice = each.groupBy("group", "w").count().where("count > 1").select("group", "w")
+    found_twice = _dealt(each, twice, "group", "w").groupBy("phrase").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    starts = parts.select("phrase", "doc_id", "text_hash", "first").join(found_twice, "phrase").select("doc_id", "text_hash", "first", F.lit(None).cast("int").alias("last"), "at")
+    none = F.lit(None).cast("array<int>").alias("at")
+    whole = held.where("not mixed").select("doc_id", "text_hash", "first", "last", none).unionByName(told.where("whole").select("doc_id", "text_hash", "first", "last", none))
+    return whole.unionByName(starts).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "last", "at")).alias("ranges"))
 
 
 def _dealt(rows: DataFrame, sums: DataFrame, *key: str) -> DataFrame:
@@ -254,7 +258,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gap: int = GAP, with_text: bool
             out = {c.split()[0]: [] for c in RESULT.split(", ")}
             for doc_id, z, r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ztext", "ranges")), strict=True):
                 data = unpack.decompress(z)
-                cuts = spans_of([(x["first"], x["last"]) for x in r or ()], length)
+                cuts = spans_of(r, length)
                 parts, at = [], 0
                 for a, b in cuts:
                     parts.append(data[at:a])
@@ -285,7 +289,7 @@ def rewritten(docs: DataFrame, length: int = LENGTH, gap: int = GAP) -> DataFram
             for text, r in zip(batch.column("text").to_pylist(), batch.column(column).to_pylist(), strict=True):
                 if r:
                     data, at, left = text.encode(), 0, []
-                    for a, b in spans_of([(x["first"], x["last"]) for x in r], length):
+                    for a, b in spans_of(r, length):
                         left.append(data[at:a])
                         at = b
                     text = b"".join((*left, data[at:])).decode(errors="ignore")
