@@ -11,19 +11,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources import deletion_vectors as dv
 from ..sources.snapshot import Snapshot
-from ..sources.storage import glob_safe, resolved, uri_of
+from ..sources.storage import Storage, glob_safe, resolved, uri_of
 from . import predicate
 
 MAX_BRANCHES = 64
 #: Rows of the table of files, or of deleted rows, that may be broadcast: both counts are known from the log.
 BROADCAST_FILES = 20_000
 BROADCAST_DELETED = 2_000_000
+#: Vectors up to this size and number of rows in all are decoded on the driver.
+DECODE_HERE_BYTES, DECODE_HERE_ROWS = 1 << 20, 500_000
 #: Files of a version whose list a snapshot may keep.
 MEMO_FILES = 100_000
 _PHYSICAL, _ID = "delta.columnMapping.physicalName", "delta.columnMapping.id"
@@ -178,8 +181,26 @@ def chosen(snapshot: Snapshot, where: predicate.Expr | None = None) -> list[Data
     return out
 
 
+def _decoded(spark: SparkSession, root: str, files: list[DataFile]) -> DataFrame:
+    """The same of few small vectors, decoded here."""
+    storage, names, rows = Storage(spark), [], []
+    for f in files:
+        v = f.vector
+        if v.storageType == "i":
+            found = dv.inline_rows(v.pathOrInlineDv, v.sizeInBytes)
+        else:
+            at = resolved(root, v.pathOrInlineDv) if v.storageType == "p" else f"{root}/{dv.relative_name(v.pathOrInlineDv)}"
+            start = 1 if v.offset is None else v.offset
+            found = dv.rows_in_file(storage.read(at, start, start + v.sizeInBytes + 8), 0)
+        names.append(pa.array([uri_of(f.path)] * len(found), pa.string()))
+        rows.append(pa.array(found, pa.int64()))
+    return spark.createDataFrame(pa.table({"file_path": pa.chunked_array(names, pa.string()), "row_index": pa.chunked_array(rows, pa.int64())}))
+
+
 def deleted_rows(spark: SparkSession, root: str, files: list[DataFile]) -> DataFrame:
-    """(file_path, row_index) of all deletion vectors, decoded on executors."""
+    """(file_path, row_index) of all deletion vectors, decoded on executors unless they are few and small."""
+    if sum(f.vector.sizeInBytes for f in files) <= DECODE_HERE_BYTES and sum(f.vector.cardinality for f in files) <= DECODE_HERE_ROWS:
+        return _decoded(spark, root, files)
     rows = []
     for f in files:
         v = f.vector
