@@ -73,7 +73,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_key(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, text_hash, text. Two rows with one doc_id are told apart by their text; equal rows have equal results."""
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", *more)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text", *more)
 
 
 def same_row(a: DataFrame, b: DataFrame):

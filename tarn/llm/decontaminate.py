@@ -149,7 +149,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, group_byt
                 rows = [(i, *x) for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for x in found(t)]
                 yield {c: [r[k] for r in rows] for k, c in enumerate(names)}
 
-        out = out.unionByName(arrow_map(docs.select("doc_id", "text"), run, RESULT))
+        out = out.unionByName(arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, RESULT))
     return out
 
 

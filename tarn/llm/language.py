@@ -166,7 +166,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 lang, score = model.predict(part.column("text").to_pylist())
                 yield {"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "lang_pred": lang, "score": score, "rejected": [x == UNKNOWN or s < model.threshold for x, s in zip(lang, score, strict=True)]}
 
-    return arrow_map(docs.select("doc_id", "text", held_out(4, 2).alias("held_out")), run, RESULT)
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(4, 2).alias("held_out")), run, RESULT)
 
 
 def _slices(batch, most: int = 1 << 20):

@@ -122,7 +122,7 @@ def similar(keyed: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
 
 def scan(docs: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every row."""
-    keyed = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_hash", F.xxhash64("text"))
     rows, met = base(keyed), similar(keyed, containment)
     joined = rows.join(met, rows["doc_id"].eqNullSafe(met["doc_id"]) & (rows["text_hash"] == met["text_hash"]), "left")
     labels = F.array_sort(F.array_distinct(F.concat("base_labels", F.coalesce("found", F.array().cast("array<string>")))))

@@ -199,7 +199,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = Non
         yield from _islands(tokenised(batches), (), 0, island, capacity)
 
     names = [c.split()[0] for c in PIECE.split(", ")]
-    done, now = [], cut(arrow_map(docs.select("doc_id", "text"), first, PLACED), "pack")
+    done, now = [], cut(arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), first, PLACED), "pack")
     for epoch in range(1, epochs):
         full = F.col("fill") == capacity
         done.append(now.where(full))

@@ -32,3 +32,18 @@ def test_a_cluster_must_name_its_folder():
 
 def test_free_name(spark):
     assert common.free_name(spark.range(1).toDF("A"), "a") == "a_"
+
+
+def test_narrow_ids(spark):
+    from pyspark.sql import functions as F
+
+    from tarn.llm import decontaminate, language, licenses, lm, packing, simhash, suffix_dedup, topk
+
+    docs = spark.createDataFrame([(1, "a b c d e f g", "en"), (2, "mit license here", "en")], "doc_id int, text string, lang string")
+    items = spark.createDataFrame([(1, "a b c d e f g")], "item_id int, text string")
+    for found in (packing.pack(docs), suffix_dedup.dedup(docs), lm.score_all(docs), simhash.near_duplicates(docs), language.identify(docs), licenses.scan(docs)):
+        assert {r.doc_id for r in found.collect()} == {1, 2}
+    assert [r.doc_id for r in decontaminate.matches(docs, items).collect()] == [1]
+    assert simhash.keep_one(docs).count() == suffix_dedup.rewritten(docs).count() == 2
+    vectors = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id int, embedding array<double>")
+    assert topk.top_k(vectors).select(F.col("vec_id")).first().vec_id == 1
