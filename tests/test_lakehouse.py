@@ -164,10 +164,9 @@ def test_vacuum_keeps_vector_files(lake, spark, sf_dir):
 
 
 @pytest.mark.parametrize("name", ["dv_inline", "dv_file"])
-def test_vectors_decoded_on_executors(spark, sf_dir, oracle, monkeypatch, name):
+def test_many_deleted_rows_are_not_broadcast(spark, sf_dir, oracle, monkeypatch, name):
     from tarn import queries
 
-    monkeypatch.setattr(scan, "DECODE_HERE_BYTES", 0)
     monkeypatch.setattr(scan, "BROADCAST_DELETED", 0)
     s = snapshot.load(spark, fixtures.path_of(spark, sf_dir, name))
     oracle.same(scan.scan(s, columns=["l_orderkey", "l_linenumber", "l_quantity"]), queries.ORACLES["delta_deletion_vector_inline"])
