@@ -2,6 +2,10 @@
 
 The stages before packing return the columns of documents. Suffix-array dedup replaces text (and n_chars, where there is
 such a column); a document of which nothing is left stays, with an empty text.
+
+Cases: a null text, or one without a letter, has no language and goes in the first stage; of rows alike in doc_id and text
+one stays in the second; a null doc_id is kept like any other; extra columns pass through to packing, which leaves them;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
