@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import decontaminate, language, packing, simhash, suffix_dedup
+from tarn.llm import decontaminate, language, packing, similar, suffix_dedup
 from tarn.llm.common import cut, table
 
 
@@ -23,8 +23,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of SimHash near-duplicates one document stays."""
-    return simhash.keep_one(docs)
+    """Of each group of documents whose five-word shingles are alike to 0.8 or more one stays."""
+    return similar.keep_one(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,123 @@
+"""One document of each group of near-duplicates: pairs whose sets of shingles have a Jaccard similarity of SIMILARITY.
+
+Shingles are WORDS words, hashed as in simhash; a shorter text is one shingle. Equal sets are one vertex.
+1. Candidates share a band: BANDS bands of ROWS MinHash values each. A pair at 0.8 shares none with a chance of
+   (1 - 0.8^4)^16 = 0.0002, one at 0.9 of 1e-7; fingerprints of 64 bits would differ in about 10 bits at 0.8, and a search
+   at the 16 or so that find nearly all such pairs compares a share of all pairs that does not fall with their number.
+2. In each bucket every member is paired with one of them, another one in each band; pairs are verified on the texts.
+3. Members of a bucket that are still in different components are paired with each other and verified, so that the
+   components are those of all candidate pairs, while a group of copies costs pairs in proportion to its size.
+
+Cases: null or blank texts have no shingles and are one group; of equal rows one stays; a null doc_id is kept only where
+all of a group's are null; empty tables give no rows.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import arrow_map, cut, free_name, with_key
+from .components import components
+from .simhash import SEED, shingle_hashes
+
+WORDS = 5
+SIMILARITY = 0.8
+BANDS = 16
+ROWS = 4
+
+_RNG = np.random.default_rng(SEED)
+_ADD = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
+_TIMES = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    return np.unique(shingle_hashes(text, words))
+
+
+def bands(hashes: np.ndarray) -> list[int]:
+    """A signed hash for each band; those of an empty set are all alike."""
+    least = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
+    for a in range(0, len(hashes), 1024):
+        mixed = (hashes[a : a + 1024, None] ^ _ADD) * _TIMES
+        mixed ^= mixed >> np.uint64(32)
+        least = np.minimum(least, (mixed * np.uint64(0x9E3779B97F4A7C15)).min(axis=0))
+    return [_signed(least[k * ROWS : (k + 1) * ROWS]) for k in range(BANDS)]
+
+
+def _signed(values: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(values.tobytes(), SEED) - (1 << 63)
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted sets; two empty sets are alike."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, text_hash, vertex (a hash of the set of shingles), bands."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingles(t, words) for t in batch.column("text").to_pylist()]
+            yield {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "vertex": [_signed(s) for s in sets], "bands": [bands(s) for s in sets]}
+
+    return arrow_map(with_key(docs), run, "doc_id long, text_hash long, vertex long, bands array<long>")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
+    """The pairs (u, v) whose texts are alike."""
+    both = pairs.join(texts.select(F.col("vertex").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("vertex").alias("v"), F.col("text").alias("b")), "v")
+
+    def run(batches):
+        for batch in batches:
+            sets = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
+            near = [jaccard(shingles(a, words), shingles(b, words)) >= similarity for a, b in sets]
+            yield {c: [x for x, ok in zip(batch.column(c).to_pylist(), near, strict=True) if ok] for c in ("u", "v")}
+
+    return arrow_map(both.select("u", "v", "a", "b"), run, "u long, v long")
+
+
+def links(classes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
+    """(u, v): verified links whose components are those of all candidate pairs. classes: vertex, least, bands."""
+    members = classes.select("vertex", F.posexplode("bands").alias("band", "value"))
+    key = ["band", "value"]
+    order = F.struct(F.xxhash64("band", "vertex").alias("h"), F.col("vertex").alias("center"))
+    # buckets of one go
+    buckets = members.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least")).where("n > 1").select(*key, "least.center")
+    members = cut(members.join(buckets, key), "members")
+    least, other = F.least("center", "vertex"), F.greatest("center", "vertex")
+    stars = cut(members.where("center <> vertex").select(least.alias("u"), other.alias("v")).distinct(), "stars")
+    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    wanted = classes.join(members.select("vertex").distinct(), "vertex", "left_semi").select("vertex", "least.doc_id", "least.text_hash")
+    same = hashed["doc_id"].eqNullSafe(wanted["doc_id"]) & (hashed["text_hash"] == wanted["text_hash"])
+    texts = cut(hashed.join(wanted, same).select("vertex", "text").dropDuplicates(["vertex"]), "texts")
+    found = cut(_verified(stars, texts, similarity, words), "found")
+    named = components(found)
+    apart = members.join(named, "vertex", "left").select(*key, "vertex", F.coalesce("component", "vertex").alias("root"))
+    mixed = apart.groupBy(*key).agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select(*key)
+    apart = cut(apart.join(mixed, key), "apart")
+    x, y = (apart.select(*key, F.col("vertex").alias(v), F.col("root").alias(f"{v}_root")) for v in "uv")
+    left = x.join(y, key).where("u < v and u_root <> v_root").select("u", "v").distinct().join(stars, ["u", "v"], "left_anti")
+    return found.unionByName(cut(_verified(left, texts, similarity, words), "found"))
+
+
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
+    """docs without near-duplicates: of each component the row with the smallest doc_id; of equal rows one."""
+    prints = cut(signed(docs, words), "signed")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    classes = cut(prints.groupBy("vertex").agg(F.min(row).alias("least"), F.min("bands").alias("bands")), "classes")
+    joined = components(links(classes, docs, similarity, words))
+    roots = classes.join(joined, "vertex", "left").select("least", F.coalesce("component", "vertex").alias("root"))
+    kept = cut(roots.groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.text_hash"), "kept")
+    hashed = free_name(docs, "_hash")
+    docs = docs.withColumn(hashed, F.xxhash64("text"))
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]) & (docs[hashed] == kept["text_hash"]), "left_semi")
+    if prints.groupBy("doc_id", "text_hash").count().where("count > 1").head(1):
+        out = out.dropDuplicates(["doc_id", hashed])
+    return out.drop(hashed)
