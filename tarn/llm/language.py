@@ -5,9 +5,11 @@ BUCKETS embeddings. A text is the mean of its embeddings; a linear layer and sof
 embedding and layer are one table of logits by bucket, so that a whole text of any length is a sum of table rows.
 
 Training: at most SAMPLE labelled rows a language (in expectation, by a hash of the row; never more than twice that in
-all), texts of at most SAMPLE_CHARS characters; the sample is the only thing collected. A tenth of it is held back to set
-the softmax temperature and, if it is large enough to tell, the threshold below which a prediction is rejected: the
-confidence that all but REJECTED of the right predictions reach, one half at most.
+all), texts of at most SAMPLE_CHARS characters; the sample is the only thing collected. One more class, `und`, is learned
+from SAMPLE bags of buckets drawn at random, which is what the subwords of an unrelated language look like; so a text can
+be far from all languages even where there is one. A tenth of the sample is held back to set the softmax temperature and the
+threshold below which a prediction is rejected: the confidence that all but REJECTED of the right predictions reach (the
+least of fewer than 1 / REJECTED; of the training rows where none is held back), one half at most.
 
 Cases: a null text, or one without a letter, is `und` with score 0 and rejected; without any labelled row everything is
 `und`; null labels are not learned from; a null doc_id counts as not held out; repeated rows are each predicted.
@@ -29,6 +31,8 @@ DIM = 16
 SAMPLE = 400
 SAMPLE_CHARS = 8000
 EPOCHS = 4
+#: A smaller sample is passed over more often, so that what is learned of it does not depend on its size.
+STEPS = 6000
 RATE = 8.0
 REJECTED = 0.01
 UNKNOWN = "und"
@@ -82,6 +86,7 @@ class Model:
         if not self.languages or not texts:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
         p = _softmax(self.logits(texts) / self.temperature)
+        p = np.where([x == UNKNOWN for x in self.languages], -1.0, p)
         best = p.argmax(axis=1)
         known = np.array([bool(t and _LETTER.search(t)) for t in texts])
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], np.where(known, p.max(axis=1), 0.0)
@@ -94,9 +99,10 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
     """rows: (text, language)."""
-    languages = sorted({lang for _, lang in rows})
+    languages = sorted({lang for _, lang in rows} - {UNKNOWN})
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+    languages.append(UNKNOWN)
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
     examples = []
@@ -107,11 +113,16 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
             examples.append((at, (n / n.sum()).astype(np.float32), languages.index(lang), text))
     back = examples[: len(examples) // 10]
     train = examples[len(back) :]
+    back = [x for x in back or train if languages[x[2]] != UNKNOWN]
+    for _, text in (rows[i] for i in rng.integers(0, len(rows), SAMPLE)):
+        at, n = np.unique(rng.integers(0, BUCKETS, max(1, sum(map(len, grams(np.frombuffer(_bytes(text), np.uint8)))))), return_counts=True)
+        train.append((at, (n / n.sum()).astype(np.float32), len(languages) - 1, None))
     embedding = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     layer = rng.normal(0, 0.1, (DIM, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
-    steps, done = EPOCHS * len(train), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS // len(train)))
+    steps, done = epochs * len(train), 0
+    for _ in range(epochs):
         for i in rng.permutation(len(train)):
             at, share, lang, _text = train[i]
             rate = RATE * (1 - done / steps)
@@ -131,9 +142,8 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
         model.temperature = float(min(scales, key=lambda t: -np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean()))
         p = _softmax(logits / model.temperature)
         right = p.max(axis=1)[p.argmax(axis=1) == truth]
-        k = int(REJECTED * (len(right) + 1))
-        if k:
-            model.threshold = float(min(0.5, np.sort(right)[k - 1]))
+        k = max(1, int(REJECTED * (len(right) + 1)))
+        model.threshold = float(min([0.5, *np.sort(right)[k - 1 : k]]))
     return model
 
 

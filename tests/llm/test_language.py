@@ -47,3 +47,13 @@ def test_texts_are_predicted_alike_alone_and_in_a_batch():
     together = model.logits(texts)
     for i, t in enumerate(texts):
         assert np.allclose(model.logits([t])[0], together[i])
+
+
+def test_other_languages_are_rejected_whatever_the_number_of_rows_or_languages(spark, sf_dir):
+    of = {}
+    for r in spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet").where("lang is not null and length(text) between 200 and 8000").orderBy("doc_id").collect():
+        of.setdefault(r.lang, []).append(r.text)
+    for known, other, n in ((["en"], "es", 30), (["en"], "es", 80), (["es", "fr"], "de", 60), (["de", "en"], "es", 100)):
+        model = language.fit([(t, lang) for lang in known for t in of[lang][:n]])
+        rejected = lambda lang: np.mean([s < model.threshold for s in model.predict(of[lang][-60:])[1]])  # noqa: B023, E731
+        assert rejected(other) > 0.5 and max(map(rejected, known)) < 0.05, (known, n)
