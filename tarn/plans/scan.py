@@ -3,7 +3,7 @@
 Files are chosen on the driver's side of planning from the live-files DataFrame (partition values and statistics), then
 read by one Parquet scan for each tuple of partition values, the values being literals: a filter on a partition column
 folds away whole branches of the union, and other filters reach the scan. With more tuples than MAX_BRANCHES there is one
-scan, joined with the table of files. Deleted rows leave by an anti join on file and row number.
+scan, joined with the table of files. Deleted rows leave by a join on file and chunk of rows, and a test of one bit.
 """
 
 from __future__ import annotations
@@ -11,19 +11,23 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources import deletion_vectors as dv
 from ..sources.snapshot import Snapshot
-from ..sources.storage import glob_safe, resolved, uri_of
+from ..sources.storage import Storage, glob_safe, resolved, spellings
 from . import predicate
 
 MAX_BRANCHES = 64
-#: Rows of the table of files, or of deleted rows, that may be broadcast: both counts are known from the log.
-BROADCAST_FILES = 20_000
-BROADCAST_DELETED = 2_000_000
+#: Bytes of the table of files, or of the bits of deleted rows, that may be broadcast: both are known from the log.
+BROADCAST_BYTES = 64 << 20
+#: Bytes of deletion vectors that are decoded on the driver, where no job need start for them; more are on executors.
+DECODED_HERE = 1 << 20
+#: Bytes of a chunk's bits.
+_CHUNK = 8192
 #: Files of a version whose list a snapshot may keep.
 MEMO_FILES = 100_000
 _PHYSICAL, _ID = "delta.columnMapping.physicalName", "delta.columnMapping.id"
@@ -60,17 +64,16 @@ def plain_type(t: T.DataType) -> T.DataType:
     return t
 
 
-def slashes(uri: Column) -> Column:
-    """Local files are file:/x or file:///x, depending on how a path was given."""
-    return F.regexp_replace(uri, "^file:/+", "file:///")
-
-
-def file_uri() -> Column:
-    return slashes(F.col("_metadata.file_path"))
+def partition_value(raw: Column, t: T.DataType) -> Column:
+    """A partition value of the log as its type. A timestamp without a zone is in UTC, whatever the session's zone."""
+    raw = F.nullif(raw, F.lit(""))
+    if isinstance(t, T.TimestampType):
+        raw = F.when(raw.rlike(r"(?:Z|[+-]\d\d:?\d\d)$"), raw).otherwise(F.concat(raw, F.lit("Z")))
+    return raw.cast(t)
 
 
 def partition_literal(value: str | None, t: T.DataType) -> Column:
-    return F.lit(None if value in (None, "") else value).cast(t)
+    return partition_value(F.lit(value or None).cast("string"), t)
 
 
 def output_schema(snapshot: Snapshot) -> T.StructType:
@@ -137,7 +140,7 @@ def live_files(snapshot: Snapshot, where: predicate.Expr | None = None) -> DataF
     def bounds(path):
         if len(path) == 1 and (field := next((f for f in snapshot.schema.fields if f.name.lower() == path[0].lower() and f.name in parts), None)):
             raw = F.col("partitionValues")[physical_name(field, mode)]
-            value = F.nullif(raw, F.lit("")).cast(field.dataType)
+            value = partition_value(raw, field.dataType)
             null = F.when(value.isNull(), 1).otherwise(0)
             return value, value, null, F.lit(1)
         at, t = _physical_path(data, path, mode)
@@ -178,36 +181,81 @@ def chosen(snapshot: Snapshot, where: predicate.Expr | None = None) -> list[Data
     return out
 
 
-def deleted_rows(spark: SparkSession, root: str, files: list[DataFile]) -> DataFrame:
-    """(file_path, row_index) of all deletion vectors, decoded on executors."""
-    rows = []
+DELETED = "file_path string, chunk long, words array<long>"
+
+
+def deleted_bytes(files: list[DataFile]) -> int:
+    """How large deleted_chunks is at most."""
+    chunks = lambda f: f.vector.cardinality if f.records is None else min(f.vector.cardinality, -(-f.records // (1 << 16)))
+    return sum(chunks(f) * sum(_CHUNK + len(x) for x in spellings(f.path)) for f in files)
+
+
+def _decoded(vectors):
+    """Columns of DELETED for (file_path spellings, row numbers)."""
+    out = {"file_path": [], "chunk": [], "words": []}
+    for names, rows in vectors:
+        for chunk, words in dv.chunks(rows):
+            for name in names:
+                for c, v in zip(out, (name, chunk, words), strict=True):
+                    out[c].append(v)
+    return pa.table({"file_path": pa.array(out["file_path"], pa.string()), "chunk": pa.array(out["chunk"], pa.int64()), "words": pa.array(out["words"], pa.list_(pa.int64()))})
+
+
+def deleted_chunks(snapshot: Snapshot, files: list[DataFile]) -> DataFrame:
+    """file_path, chunk of 65,536 rows, and its deleted rows as 1024 longs of bits. Each vector is read once; more than
+    DECODED_HERE bytes of them are decoded on executors, one row of work a vector file."""
+    spark, root = snapshot.spark, snapshot.root
+    inline, stored = [], {}
     for f in files:
         v = f.vector
-        at = "" if v.storageType == "i" else resolved(root, v.pathOrInlineDv) if v.storageType == "p" else f"{root}/{dv.relative_name(v.pathOrInlineDv)}"
-        rows.append((uri_of(f.path), v.pathOrInlineDv if v.storageType == "i" else None, at, v.offset, v.sizeInBytes))
-    schema = "file_path string, inline string, at string, offset int, size int"
-    table = spark.createDataFrame(rows, schema).withColumn("content", F.lit(None).cast("binary"))
-    stored = sorted({r[2] for r in rows if r[2]})
+        if v.storageType == "i":
+            inline.append((spellings(f.path), v.pathOrInlineDv, v.sizeInBytes))
+        else:
+            at = resolved(root, v.pathOrInlineDv) if v.storageType == "p" else f"{root}/{dv.relative_name(v.pathOrInlineDv)}"
+            stored.setdefault(at, []).append((spellings(f.path), 1 if v.offset is None else v.offset, v.sizeInBytes))
+    if sum(f.vector.sizeInBytes for f in files) <= DECODED_HERE:
+        key = ("deleted", tuple((f.path, dv.unique_id(f.vector)) for f in files))
+        if key not in snapshot.memo:
+            storage = Storage(spark)
+            here = [(names, dv.inline_rows(text, size)) for names, text, size in inline]
+            here += [(names, dv.rows_in_file(storage.read(at, offset, offset + size + 8), 0)) for at, some in stored.items() for names, offset, size in some]
+            snapshot.memo[key] = spark.createDataFrame(_decoded(here), DELETED)
+        return snapshot.memo[key]
+
+    def from_text(batches):
+        for batch in batches:
+            yield from _decoded((r["names"], dv.inline_rows(r["text"], r["size"])) for r in batch.to_pylist()).to_batches()
+
+    def from_files(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                for v in r["vectors"]:
+                    yield from _decoded([(v["names"], dv.rows_in_file(r["content"], v["offset"]))]).to_batches()
+
+    parts = []
+    if inline:
+        parts.append(spark.createDataFrame(inline, "names array<string>, text string, size int").mapInArrow(from_text, DELETED))
     if stored:
-        content = spark.read.format("binaryFile").load([glob_safe(p) for p in stored]).select(F.col("path").alias("uri"), F.col("content").alias("bytes"))
-        links = spark.createDataFrame([(p, uri_of(p)) for p in stored], "at string, uri string")
-        content = content.withColumn("uri", slashes(F.col("uri"))).join(links, "uri").select("at", "bytes")
-        table = table.join(content, "at", "left").withColumn("content", F.col("bytes")).drop("bytes")
+        # a vector file's content meets the list of its vectors once
+        lists = [(uri, [(names, offset) for names, offset, _ in some]) for at, some in stored.items() for uri in spellings(at)]
+        lists = spark.createDataFrame(lists, "uri string, vectors array<struct<names: array<string>, offset: int>>")
+        content = spark.read.format("binaryFile").load([glob_safe(p) for p in sorted(stored)]).select(F.col("path").alias("uri"), "content")
+        parts.append(content.join(lists, "uri").select("content", "vectors").mapInArrow(from_files, DELETED))
+    return reduce(DataFrame.unionByName, parts)
 
-    def run(frames):
-        import pandas as pd
 
-        for frame in frames:
-            for r in frame.itertuples():
-                found = dv.inline_rows(r.inline, int(r.size)) if r.inline is not None else dv.rows_in_file(bytes(r.content), None if pd.isna(r.offset) else int(r.offset))
-                for a in range(0, len(found), 1 << 16):
-                    yield pd.DataFrame({"file_path": r.file_path, "row_index": found[a : a + (1 << 16)]})
+def stub(snapshot: Snapshot, mark: str) -> DataFrame:
+    """A stand-in that has the table's columns, for plans that are made and never run. mark is an option of its scan."""
+    log_file = (snapshot.segment.commits or snapshot.segment.checkpoint)[-1]
+    return snapshot.spark.read.schema(output_schema(snapshot)).option(predicate.MARK, mark).parquet(glob_safe(log_file))
 
-    return table.select("file_path", "inline", "offset", "size", "content").mapInPandas(run, "file_path string, row_index long")
 
+def scan(snapshot: Snapshot, where: predicate.Expr | None = None, columns: list[str] | None = None, files: list[DataFile] | None = None) -> DataFrame:
+    """The rows of a snapshot under its logical schema. where prunes files and filters; columns projects; files, of those
+    that chosen gives, are the ones to read.
 
-def scan(snapshot: Snapshot, where: predicate.Expr | None = None, columns: list[str] | None = None) -> DataFrame:
-    """The rows of a snapshot under its logical schema. where prunes files and filters; columns projects."""
+    Columns mapped by id need the session's Parquet reader to go by ids; that setting stays, as the result is lazy.
+    """
     spark, meta, mode = snapshot.spark, snapshot.metadata, snapshot.metadata.mapping_mode
     schema = snapshot.schema
     fields = list(schema.fields)
@@ -217,19 +265,23 @@ def scan(snapshot: Snapshot, where: predicate.Expr | None = None, columns: list[
     if mode == "id":
         spark.conf.set("spark.sql.parquet.fieldId.read.enabled", "true")
         spark.conf.set("spark.sql.parquet.fieldId.read.ignoreMissing", "true")
-    files = chosen(snapshot, where)
+    files = chosen(snapshot, where) if files is None else files
 
     def read(some: list[DataFile], extra=()) -> DataFrame:
         df = spark.read.schema(reading).parquet(*(glob_safe(f.path) for f in some))
         deleted = [f for f in some if f.vector]
+        file = F.col("_metadata.file_path")
         if deleted:
-            gone = deleted_rows(spark, snapshot.root, deleted)
-            if sum(f.vector.cardinality for f in deleted) <= BROADCAST_DELETED:
+            gone = deleted_chunks(snapshot, deleted)
+            if deleted_bytes(deleted) <= BROADCAST_BYTES:
                 gone = F.broadcast(gone)
-            df = df.withColumn("__file", file_uri()).withColumn("__row", F.col("_metadata.row_index"))
-            df = df.join(gone, (df["__file"] == gone["file_path"]) & (df["__row"] == gone["row_index"]), "left_anti").drop("__row", *([] if "__file" in extra else ["__file"]))
+            df = df.withColumn("__file", file).withColumn("__row", F.col("_metadata.row_index"))
+            df = df.join(gone, (df["__file"] == gone["file_path"]) & (F.shiftright(df["__row"], 16) == gone["chunk"]), "left")
+            word = F.get("words", F.shiftright(F.col("__row").bitwiseAND(F.lit(0xFFFF)), 6).cast("int"))
+            bit = F.call_function("shiftright", word, F.col("__row").bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1))
+            df = df.where(F.coalesce(bit, F.lit(0)) == 0).drop("__row", "file_path", "chunk", "words", *([] if "__file" in extra else ["__file"]))
         elif "__file" in extra:
-            df = df.withColumn("__file", file_uri())
+            df = df.withColumn("__file", file)
         return df
 
     def logical(df: DataFrame, part_value) -> DataFrame:
@@ -256,13 +308,14 @@ def scan(snapshot: Snapshot, where: predicate.Expr | None = None, columns: list[
         df = reduce(DataFrame.unionByName, [b for values, some in sorted(groups.items(), key=lambda x: tuple((v is not None, v) for v in x[0])) for b in branch(some, values)])
     else:
         names = [f"__p{i}" for i in range(len(parts))]
-        table = spark.createDataFrame([(uri_of(f.path), *f.partition) for f in files], T.StructType([T.StructField("__at", T.StringType()), *(T.StructField(n, T.StringType()) for n in names)]))
-        if len(files) <= BROADCAST_FILES:
+        rows = [(uri, *f.partition) for f in files for uri in spellings(f.path)]
+        table = spark.createDataFrame(rows, T.StructType([T.StructField("__at", T.StringType()), *(T.StructField(n, T.StringType()) for n in names)]))
+        if sum(len(v or "") + 16 for r in rows for v in r) <= BROADCAST_BYTES:
             table = F.broadcast(table)
         rows = read(files, ("__file",))
         rows = rows.join(table, rows["__file"] == table["__at"])
         place = {f.name: n for f, n in zip(parts, names, strict=True)}
-        df = logical(rows, lambda f: F.nullif(F.col(place[f.name]), F.lit("")).cast(f.dataType))
+        df = logical(rows, lambda f: partition_value(F.col(place[f.name]), f.dataType))
     if where is not None:
         df = df.where(predicate.to_column(where))
     return df.select(*columns) if columns is not None else df

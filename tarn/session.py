@@ -10,6 +10,7 @@ import json
 import re
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -46,6 +47,8 @@ class LakehouseSession:
         self._given: catalog.CatalogClient | None = None
         self._credentials: Callable[[str], dict] | None = None
         self._snapshots: dict[log.LogSegment, snapshot.Snapshot] = {}
+        #: Views that stay at a version, and their rows.
+        self._views: dict[str, tuple[snapshot.Snapshot, DataFrame]] = {}
         sign_url.register(spark)
 
     def _options(self, catalog_client=None, credentials: Callable[[str], dict] | None = None, signers=None, compatibility: bool = False) -> None:
@@ -105,8 +108,10 @@ class LakehouseSession:
         return self.snapshot(url, version).scan_rows()
 
     def register(self, name: str, url: str, version: int | None = None) -> DataFrame:
-        """A view of one version, which stays that version."""
-        df = self.read(url, version)
+        """A view of one version, which stays that version. In statements given to sql, its filters also skip files."""
+        found = self.snapshot(url, version)
+        df = scan.scan(found)
+        self._views[name] = (found, df)
         df.createOrReplaceTempView(name)
         return df
 
@@ -133,11 +138,51 @@ class LakehouseSession:
         return self._host(statement.text, **kwargs)
 
     def _host(self, text: str, **kwargs) -> DataFrame:
+        text = compat.expanded(text)
         words = {t.text.lower() for t in sqlext.tokens(text) if t.kind in ("word", "quoted")}
+        tables: dict[str, snapshot.Snapshot] = {}
         for name in self.schema.table_names():
             if name.lower() in words:
-                self.schema.table(name).createOrReplaceTempView(name)
-        return self.spark.sql(text, **kwargs)
+                fresh = self.schema.snapshot(name)
+                if fresh is None:
+                    self.schema.table(name).createOrReplaceTempView(name)
+                else:
+                    tables[name] = fresh
+        lasting = {}
+        for name, (found, df) in self._views.items():
+            if name.lower() in words and self._is_ours(name, df):
+                tables[name], lasting[name] = found, df
+        if not tables:
+            return self.spark.sql(text, **kwargs)
+        if not predicate.is_query(self.spark, text):
+            # what a command makes may read the tables later, so they stay
+            for name, found in tables.items():
+                if name not in lasting:
+                    scan.scan(found).createOrReplaceTempView(name)
+            return self.spark.sql(text, **kwargs)
+        try:
+            # the plan over stand-ins tells the filters; the scans of the files that they leave take their place
+            marks = {name: f"{name}-{i}" for i, name in enumerate(tables)}
+            for name, found in tables.items():
+                scan.stub(found, marks[name]).createOrReplaceTempView(name)
+            filters = predicate.filters_of(self.spark.sql(text, **kwargs))
+            for name, found in tables.items():
+                where = filters.get(marks[name])
+                scan.scan(found, files=scan.chosen(found, where)).createOrReplaceTempView(name)
+            return self.spark.sql(text, **kwargs)
+        finally:
+            for name in tables:
+                if name in lasting:
+                    lasting[name].createOrReplaceTempView(name)
+                else:
+                    self.spark.catalog.dropTempView(name)
+
+    def _is_ours(self, name: str, df: DataFrame) -> bool:
+        """Whether the view of this name is still the one that register made."""
+        try:
+            return self.spark.table(name).sameSemantics(df)
+        except AnalysisException:
+            return False
 
     def _external(self, s: sqlext.CreateExternalTable) -> DataFrame:
         if not (s.if_not_exists and self.spark.catalog.tableExists(s.name)):

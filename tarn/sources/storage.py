@@ -153,8 +153,13 @@ def glob_safe(path: str) -> str:
     return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
 
 
+def spellings(path: str) -> list[str]:
+    """As _metadata.file_path may have it: local files are file:/x or file:///x, depending on how a path was given."""
+    uri = uri_of(path)
+    return [uri, "file:" + uri[7:]] if uri.startswith("file:///") else [uri]
+
+
 def uri_of(path: str) -> str:
-    """As _metadata.file_path has it."""
     parts = urlsplit(path)
     if parts.scheme and len(parts.scheme) > 1:
         return f"{parts.scheme}://{parts.netloc}{quote(path.split(parts.netloc, 1)[1] if parts.netloc else parts.path, safe=_PATH)}"

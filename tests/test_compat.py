@@ -19,8 +19,7 @@ CASES = {
 
 @pytest.mark.parametrize("text", list(CASES))
 def test_function(spark, text):
-    compat.register(spark)
-    got = spark.sql(f"SELECT {text}").first()[0]
+    got = LakehouseSession(spark, compatibility=True).sql(f"SELECT {text}").first()[0]
     assert got == CASES[text]
 
 
@@ -37,3 +36,21 @@ def test_configuration(spark):
         spark.conf.set(f"spark.lakehouse.{name}", "false")
         assert lake.conf(key) == "false"
         spark.conf.unset(f"spark.lakehouse.{name}")
+
+
+def test_any_type(spark):
+    from tarn.session import LakehouseSession
+
+    lake = LakehouseSession(spark, compatibility=True)
+    one = lambda text: lake.sql(f"SELECT {text} AS x").first().x
+    for text, want in {
+        "array_length(array(1, 2))": 2, "array_has(make_array(1, 2), 2)": True, "array_positions(array(1, 2, 1), 1)": [1, 3], "array_slice(array(1, 2, 3, 4), 2, 3)": [2, 3], "array_resize(array(1, 2), 4, 9)": [1, 2, 9, 9],
+        "array_resize(array(1, 2), 1, 9)": [1], "array_ndims(array(array(1)))": 2, "array_dims(array(1, 2))": [2], "array_concat(array(1), array(2.5D))": [1.0, 2.5], "array_replace(array(1, 2, 1), 1, 7)": [7, 2, 1],
+        "array_replace_n(array(1, 1, 1), 1, 7, 2)": [7, 7, 1], "array_remove_n(array(1, 2, 1, 1), 1, 2)": [2, 1], "array_push_front(0, array(1))": [0, 1], "array_pop_front(array(1, 2))": [2], "array_pop_back(array(1, 2))": [1], "array_empty(array())": True,
+        "array_has_all(array(1, 2, 3), array(1, 3))": True, "array_any_value(array(null, 2))": 2, "arrow_cast('12', 'Int64')": 12, "get_field(named_struct('a,b', 1, 'c', 2), 'c')": 2, "make_map('k', 1)": {"k": 1}, "map_extract(map('k', 5), 'k')": [5],
+        "array_indexof(array('a', 'b'), 'b')": 2, "array_replace_all(array_slice(array(1, 1, 2), 1, 2), 1, 3)": [3, 3], "'array_empty(x)'": "array_empty(x)", "array_reverse(array(1, 2))": [2, 1], "arrow_typeof(1)": "int",
+    }.items():
+        assert one(text) == want, text
+    rows = lake.sql("SELECT var(x) AS a, var_sample(x) AS b, var_population(x) AS c, approx_distinct(x) AS d, approx_median(x) AS e, approx_percentile_cont(x, 0.5) AS f, quantile_cont(x, 0.5) AS g FROM VALUES (1), (2), (3), (6) AS t(x)").first()
+    assert (round(rows.a, 6), round(rows.b, 6), rows.c, rows.d, rows.e, rows.f, rows.g) == (4.666667, 4.666667, 3.5, 4, 2, 2, 2.5)
+    assert [r.x for r in lake.sql("SELECT unnest(array(4, 5)) AS x").collect()] == [4, 5]

@@ -9,7 +9,7 @@ import pytest
 from tarn import fixtures
 from tarn.functions import sign_url
 from tarn.operators import vacuum
-from tarn.plans import scan
+from tarn.plans import predicate, scan
 from tarn.session import LakehouseSession
 from tarn.sources import catalog, log, snapshot
 from tarn.sources.commit import write_commit, write_json_file
@@ -167,11 +167,85 @@ def test_vacuum_keeps_vector_files(lake, spark, sf_dir):
 def test_many_deleted_rows_are_not_broadcast(spark, sf_dir, oracle, monkeypatch, name):
     from tarn import queries
 
-    monkeypatch.setattr(scan, "BROADCAST_DELETED", 0)
+    monkeypatch.setattr(scan, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(scan, "DECODED_HERE", 0)
     s = snapshot.load(spark, fixtures.path_of(spark, sf_dir, name))
     oracle.same(scan.scan(s, columns=["l_orderkey", "l_linenumber", "l_quantity"]), queries.ORACLES["delta_deletion_vector_inline"])
 
 
+def test_bits_of_deleted_rows():
+    import numpy as np
+
+    from tarn.sources import deletion_vectors as dv
+
+    rows = np.array([0, 63, 64, 65_535, 65_536, 200_000, (1 << 33) + 5])
+    back = [(chunk << 16) + i for chunk, words in dv.chunks(rows) for i in np.flatnonzero(np.unpackbits(words.view(np.uint8), bitorder="little")).tolist()]
+    assert back == rows.tolist() and all(len(w) == 1024 for _, w in dv.chunks(rows))
+
+
+def _files_read(df):
+    """Of the table, without the log."""
+    return [f for f in df.inputFiles() if "_delta_log" not in f]
+
+
+def test_filters_of_statements_choose_files(lake, spark, sf_dir, oracle):
+    lake.register("t_orders", fixtures.path_of(spark, sf_dir, "sorted_orders"))
+    lake.register("t_many", fixtures.path_of(spark, sf_dir, "many_partitions"))
+    low = "SELECT o_orderkey, o_totalprice FROM {} WHERE o_orderkey < 10 AND o_totalprice > 0"
+    df = lake.sql(low.format("t_orders"))
+    assert len(_files_read(df)) == 1
+    oracle.same(df, low.format("orders"))
+    df = lake.sql("SELECT c_custkey FROM t_many WHERE bucket = 41")
+    assert len(_files_read(df)) == 1
+    oracle.same(df, "SELECT c_custkey FROM customer WHERE c_custkey % 70 = 41")
+    # a table that is asked for twice is read for both; without a filter in one place, as a whole
+    both = "SELECT a.o_orderkey FROM {0} a JOIN {0} b ON a.o_orderkey = b.o_orderkey WHERE a.o_orderkey < 10 OR a.o_orderkey IN (1, 2, 3)"
+    assert len(set(_files_read(lake.sql(both.format("t_orders"))))) == 1
+    oracle.same(lake.sql(both.format("t_orders")), both.format("orders"))
+    some = "SELECT o_orderkey FROM {0} WHERE o_orderkey < 10 UNION ALL SELECT max(o_orderkey) FROM {0}"
+    assert len(set(_files_read(lake.sql(some.format("t_orders"))))) == 8
+    oracle.same(lake.sql(some.format("t_orders")), some.format("orders"))
+    inner = "SELECT o_orderkey FROM {0} WHERE o_orderkey < (SELECT avg(o_orderkey) FROM {0}) AND o_orderkey < 50"
+    oracle.same(lake.sql(inner.format("t_orders")), inner.format("orders"))
+    left = "SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM {0} a LEFT JOIN (SELECT * FROM {0} WHERE o_orderkey < 5) b ON a.o_orderkey = b.o_orderkey WHERE b.o_orderkey IS NULL"
+    oracle.same(lake.sql(left.format("t_orders")), left.format("orders"))
+    # the view is as it was for others, and what statements make reads all
+    assert spark.table("t_orders").count() == spark.table("t_orders").select("o_orderkey").count() > 10
+    lake.sql("CREATE OR REPLACE TEMPORARY VIEW t_low AS SELECT * FROM t_orders WHERE o_orderkey < 10")
+    oracle.same(spark.sql("SELECT o_orderkey FROM t_low"), "SELECT o_orderkey FROM orders WHERE o_orderkey < 10")
+
+
+def test_filters_over_tables_that_follow_the_log(lake, spark, sf_dir, oracle):
+    lake.schema.deregister_table("t_now")
+    lake.register_delta("t_now", fixtures.path_of(spark, sf_dir, "sorted_orders"))
+    df = lake.sql("SELECT count(*) AS n FROM t_now WHERE o_orderkey BETWEEN 3 AND 9")
+    assert len(_files_read(df)) == 1
+    oracle.same(df, "SELECT count(*) AS n FROM orders WHERE o_orderkey BETWEEN 3 AND 9")
+    assert not spark.catalog.tableExists("t_now")
+    assert lake.sql("SELECT * FROM t_now WHERE false").count() == 0
+    with pytest.raises(Exception, match="nothing_like_it"):
+        lake.sql("SELECT nothing_like_it FROM t_now")
+    lake.schema.deregister_table("t_now")
+
+
+def test_partition_timestamps_are_in_utc(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    b = fixtures.Builder(spark, str(tmp_path / "t"))
+    shape = T.StructType().add("x", T.IntegerType()).add("at", T.TimestampType())
+    one = spark.createDataFrame([(1,)], "x int")
+    values = ["2020-01-01 12:00:00", "2020-01-01T12:00:00.000000Z", "2020-01-01 14:00:00+02:00"]
+    b.commit(*b.start(shape, ["at"]), *(b.add(one, {"at": v}) for v in values))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        found = snapshot.load(spark, b.root)
+        assert [r.at for r in scan.scan(found).selectExpr("unix_seconds(at) AS at").collect()] == [1577880000] * 3
+        assert scan.scan(found, predicate.parse(spark, "at = timestamp'2020-01-01 12:00:00Z'")).count() == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_retention():
     week = {"delta.deletedFileRetentionDuration": "interval 1 week"}
     assert vacuum.retention({}, None) == timedelta(days=7)
