@@ -153,7 +153,7 @@ def partitioned_odd(b: Builder, sf_dir: str) -> None:
 
 def many_partitions(b: Builder, sf_dir: str) -> None:
     """More tuples of partition values than a union has branches."""
-    df = _source(b.spark, sf_dir, "customer").where("c_custkey < 1000").withColumn("bucket", (F.col("c_custkey") % 70).cast("int"))
+    df = _source(b.spark, sf_dir, "customer").withColumn("bucket", (F.col("c_custkey") % 70).cast("int"))
     b.commit(*b.start(df.schema, ["bucket"]), *(b.add(df.where(F.col("bucket") == i).drop("bucket"), {"bucket": str(i)}, f"bucket={i}", stats=False) for i in range(70)))
 
 
@@ -258,10 +258,10 @@ def empty(b: Builder, sf_dir: str) -> None:
 
 
 def all_types(b: Builder, sf_dir: str) -> None:
-    df = _source(b.spark, sf_dir, "events").where("event_id < 128")
+    df = _source(b.spark, sf_dir, "events")
     n = F.col("event_id")
     df = df.select(
-        n.alias("l"), (n % 2 == 0).alias("bo"), F.col("event_type").alias("s"), n.cast("byte").alias("by"), n.cast("short").alias("sh"), n.cast("int").alias("i"), F.col("value").cast("float").alias("f"), F.col("value").alias("d"),
+        n.alias("l"), (n % 2 == 0).alias("bo"), F.col("event_type").alias("s"), (n % 128).cast("byte").alias("by"), (n % 32768).cast("short").alias("sh"), n.cast("int").alias("i"), F.col("value").cast("float").alias("f"), F.col("value").alias("d"),
         F.col("ts").cast("timestamp").alias("t"), F.col("ts").alias("tn"), F.col("ts").cast("date").alias("da"), F.encode("event_type", "utf-8").alias("bi"), F.col("value").cast("decimal(20,4)").alias("de"),
     )
     b.commit(*b.start(df.schema, features=["timestampNtz"]), b.add(df))

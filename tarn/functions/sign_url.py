@@ -26,11 +26,11 @@ def _hmac(key: bytes, text: str) -> bytes:
     return hmac.new(key, text.encode(), hashlib.sha256).digest()
 
 
-def _query_signed(url, key_id, secret, region, now, algorithm, prefix, service, end, host, path, token=None):
+def _query_signed(url, key_id, secret, region, now, algorithm, prefix, service, end, host, path, token=None, lifetime=LIFETIME_S):
     """Version 4 signatures in a URL's query, of S3 and of Google's XML interface."""
     day, stamp = now.strftime("%Y%m%d"), now.strftime("%Y%m%dT%H%M%SZ")
     scope = f"{day}/{region}/{service}/{end}"
-    fields = {f"X-{prefix}-Algorithm": algorithm, f"X-{prefix}-Credential": f"{key_id}/{scope}", f"X-{prefix}-Date": stamp, f"X-{prefix}-Expires": str(LIFETIME_S), f"X-{prefix}-SignedHeaders": "host"}
+    fields = {f"X-{prefix}-Algorithm": algorithm, f"X-{prefix}-Credential": f"{key_id}/{scope}", f"X-{prefix}-Date": stamp, f"X-{prefix}-Expires": str(lifetime), f"X-{prefix}-SignedHeaders": "host"}
     if token:
         fields[f"X-{prefix}-Security-Token"] = token
     query = "&".join(f"{quote(k, safe='-_.~')}={quote(v, safe='-_.~')}" for k, v in sorted(fields.items()))

@@ -14,12 +14,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import deletion_vectors as dv
 from ..sources.snapshot import Snapshot
-from ..sources.storage import Storage, glob_safe, resolved
+from ..sources.storage import Storage, glob_safe
 
 DEFAULT_RETENTION = timedelta(days=7)
 DRY_RUN_FILES = 1000
@@ -85,22 +85,32 @@ def _needed(plan: VacuumPlan) -> DataFrame:
     spark, root = snapshot.spark, snapshot.root
     recent = snapshot.tombstones.where(F.coalesce("deletionTimestamp", F.lit(0)) >= plan.cutoff_ms)
     rows = snapshot.files.select("path", "deletionVector").unionByName(recent.select("path", "deletionVector"))
-
-    def run(frames):
-        import pandas as pd
-
-        for frame in frames:
-            out = []
-            for path, kind, name in zip(frame.path, frame.kind, frame.name, strict=True):
-                out.append(resolved(root, path))
-                if kind == "u":
-                    out.append(f"{root}/{dv.relative_name(name)}")
-                elif kind == "p":
-                    out.append(resolved(root, name))
-            yield pd.DataFrame({"at": out})
-
-    rows = rows.select("path", F.col("deletionVector.storageType").alias("kind"), F.col("deletionVector.pathOrInlineDv").alias("name"))
-    return rows.mapInPandas(run, "at string")
+    vector = F.col("deletionVector.pathOrInlineDv")
+    at = F.when(F.col("deletionVector.storageType") == "u", F.concat(F.lit(f"{root}/"), vector_name(vector))).when(F.col("deletionVector.storageType") == "p", absolute(root, vector))
+    return rows.select(F.explode(F.array_compact(F.array(absolute(root, F.col("path")), at))).alias("at"))
+
+
+def absolute(root: str, path: Column) -> Column:
+    """storage.resolved as an expression."""
+    # a plus sign stands for itself in a log's paths
+    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    local = F.regexp_replace(plain, "^file:/+", "/")
+    return F.when(path.rlike("^file:"), local).when(path.rlike("^[A-Za-z][A-Za-z0-9+.-]+:"), plain).when(plain.startswith("/"), plain).otherwise(F.concat(F.lit(f"{root}/"), plain))
+
+
+def vector_name(name: Column) -> Column:
+    """deletion_vectors.relative_name as an expression: four groups of five Z85 digits are the UUID's 16 bytes."""
+    tail = F.right(name, F.lit(20))
+    digit = lambda i: F.instr(F.lit(dv.Z85), F.substring(tail, i + 1, 1)).cast("long") - 1
+    groups = []
+    for g in range(4):
+        n = F.lit(0).cast("long")
+        for i in range(5):
+            n = n * 85 + digit(5 * g + i)
+        groups.append(F.lpad(F.lower(F.hex(n)), 8, "0"))
+    uuid = F.regexp_replace(F.concat(*groups), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    folder = F.left(name, F.length(name) - 20)
+    return F.concat(F.when(folder == "", "").otherwise(F.concat(folder, F.lit("/"))), F.lit("deletion_vector_"), uuid, F.lit(".bin"))
 
 
 def candidates(plan: VacuumPlan) -> DataFrame:
@@ -109,8 +119,7 @@ def candidates(plan: VacuumPlan) -> DataFrame:
     spark, root = snapshot.spark, snapshot.root
     if plan.mode == "LITE":
         expired = snapshot.tombstones.where(F.coalesce("deletionTimestamp", F.lit(0)) < plan.cutoff_ms).select("path").distinct()
-        at = F.udf(lambda p: resolved(root, p), "string")
-        rows = expired.select(at("path").alias("path"), F.lit(None).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modification_time"))
+        rows = expired.select(absolute(root, F.col("path")).alias("path"), F.lit(None).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modification_time"))
         return rows.join(_needed(plan), F.col("path") == F.col("at"), "left_anti")
     # Spark lists folders in parallel and leaves out what starts with "_" or ".", partition folders such as _x=1 apart;
     # no file is opened, as its content is not asked for
