@@ -27,11 +27,13 @@ def brute(docs, length):
 
 
 def run(df, **options):
-    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.dedup(df, **options).collect())
+    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_repeated) for r in sd.dedup(df, **options).collect())
 
 
-def want(docs, length):
-    return Counter((i, *x) for (i, _), x in zip(docs, brute(docs, length), strict=True))
+def want(docs, length, short=sd.SHORT):
+    """The last number is what strings of `short` bytes cover."""
+    covered = [x[1] for x in brute(docs, short)]
+    return Counter((i, *x, n) for (i, _), x, n in zip(docs, brute(docs, length), covered, strict=True))
 
 
 def test_whole_table(spark, sf_dir):
@@ -55,7 +57,12 @@ def test_many_borders(documents, seed):
             if rng.random() < 0.5:
                 parts.append(rng.choice("xyzé") * rng.randrange(3))
         docs.append((i, "".join(parts)))
-    assert run(documents(docs), length=64, gap=24) == want(docs, 64)
+    found = run(documents(docs), length=64, gap=24, short=48)
+    assert found == want(docs, 64, 48) and any(k[2] not in (0, k[1]) for k in found)
+    # groups too large for one task, texts in windows
+    assert run(documents(docs), length=64, gap=24, short=48, group=3) == found
+    assert run(documents(docs), length=64, gap=24, short=48, chunk=100) == found
+    assert run(documents(docs), length=64, gap=24, short=48, group=1, chunk=37, band=3) == found
 
 
 def test_edges(documents, clashing):
@@ -87,6 +94,31 @@ def test_rewritten_keeps_columns_and_rows(documents, clashing):
     assert rows[1].n_chars == 4 and rows[1].ranges == "ranges"
 
 
+def test_cuts_leave_whole_characters(documents):
+    p = "".join(random.Random(3).choice("abcdefgh ") for _ in range(500))
+    # both texts go on with a two-byte sign that shares its first byte, and begin with one that shares its last
+    docs = documents([(1, "one \u00e9" + p + "\u00e9 end"), (2, "two \u0129" + p + "\u00e8 rest")])
+    assert {r.doc_id: r.text for r in sd.rewritten(docs).collect()} == {1: "one \u00e9\u00e9 end", 2: "two \u0129\u00e8 rest"}
+    assert {r.n_removed for r in sd.dedup(docs).collect()} == {502}
+
+
+def test_orders_tell_which_strings_are_equal():
+    rng = random.Random(4)
+    heads = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(6))) for _ in range(300)]
+    tails = [b"t" + bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(3, 9))) for _ in range(300)]
+    groups = np.array([i % 3 for i in range(300)])
+    least = np.array([rng.randrange(len(h) + 1) for h in heads])
+    strings = Counter()
+    for g, h, t, low in zip(groups, heads, tails, least, strict=True):
+        strings.update((g, o, (h[len(h) - o :] + t)[:6]) for o in range(low, len(h) + 1) if o + len(t) >= 6)
+    found = sd.combined(groups, heads, tails, least, 6)
+    for i, (g, h, t, low) in enumerate(zip(groups, heads, tails, least, strict=True)):
+        for o in range(found.shape[1]):
+            asked = low <= o <= len(h) and o + len(t) >= 6
+            assert found[i, o] == (asked and strings[(g, o, (h[len(h) - o :] + t)[:6])] > 1)
+    assert found.any()
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.binary(min_size=60, max_size=400), st.integers(0, 50))
 def test_a_string_has_the_same_trigger_wherever_it_stands(data, shift):
