@@ -1,5 +1,7 @@
 import corpus_pipeline
-from tarn.llm import decontaminate, language, packing, simhash, suffix_dedup
+from tarn.llm import decontaminate, language, packing, suffix_dedup
+
+from test_similar import brute_kept
 
 
 def test_stages_one_after_another(spark, sf_dir):
@@ -16,13 +18,22 @@ def test_stages_one_after_another(spark, sf_dir):
 
     one = stage["SimHash near-dedup"](spark, known, sf_dir)
     assert one.columns == columns
-    kept = {r.doc_id for r in simhash.near_duplicates(known).collect() if r.component_id == r.doc_id}
-    assert {r.doc_id for r in one.collect()} == kept
+    assert {r.doc_id for r in one.collect()} == brute_kept([(r.doc_id, r.text) for r in known.collect()])
 
     cut = stage["suffix-array dedup"](spark, one, sf_dir)
     assert cut.columns == columns
-    sizes = {r.doc_id: r.n_bytes - r.n_removed for r in suffix_dedup.dedup(one).collect()}
-    assert {r.doc_id: len(r.text.encode()) for r in cut.collect()} == sizes
+    sizes = {r.doc_id: r.n_bytes - r.n_removed for r in suffix_dedup.dedup(one, corpus_pipeline.REPEATED, short=None).collect()}
+    left = {r.doc_id: len(r.text.encode()) for r in cut.collect()}
+    assert left.keys() == sizes.keys()
+    # characters that a cut would split stay whole
+    assert all(sizes[i] <= n <= sizes[i] + 6 * 20 for i, n in left.items()) and sum(left.values()) < sum(sizes.values()) + 100
+    # no run of over 50 words is left in two documents
+    runs = {}
+    for r in cut.collect():
+        w = r.text.split()
+        for i in range(len(w) - 50):
+            runs.setdefault(" ".join(w[i : i + 51]), set()).add(r.doc_id)
+    assert all(len(x) == 1 or len(t.encode()) < corpus_pipeline.REPEATED for t, x in runs.items())
 
     clean = stage["benchmark decontamination"](spark, cut, sf_dir)
     assert clean.columns == columns

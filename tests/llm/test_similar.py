@@ -1,13 +1,15 @@
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
+
 import corpus_pipeline
-from tarn.llm import similar
+from tarn.llm import shingles, simhash
 
 
 def brute_kept(docs):
     """The smallest doc_id of each component of pairs of 0.8 or more, by all pairs."""
-    sets = {i: similar.shingles(t).tolist() for i, t in docs}
+    sets = {i: np.unique(shingles.shingle_hashes(t, 5)).tolist() for i, t in docs}
     parent = {i: i for i in sets}
 
     def root(x):
@@ -39,7 +41,7 @@ def test_the_stage_drops_what_four_bits_miss(spark, sf_dir):
 def test_chains_whose_ends_differ(documents):
     words = [f"w{i}" for i in range(100)]
     rows = [(k, " ".join(words[: 100 - 6 * k])) for k in range(6)]
-    out = similar.keep_one(documents(rows))
+    out = simhash.keep_one(documents(rows))
     assert {r.doc_id for r in out.collect()} == brute_kept(rows) == {0}
 
 
@@ -47,7 +49,24 @@ def test_edges(documents, clashing):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(1, text), (2, text), (2, text), (3, "something else"), (4, None), (5, " "), (None, "no id"), (None, "no id"), (None, text)]
     df = clashing(documents(rows))
-    out = similar.keep_one(df)
+    out = simhash.keep_one(df)
     assert out.columns == df.columns
     assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([(1, text), (3, "something else"), (4, None), (None, "no id")])
-    assert similar.keep_one(df.limit(0)).collect() == []
+    assert simhash.keep_one(df.limit(0)).collect() == []
+
+
+def test_a_common_passage_is_no_likeness(documents):
+    """Many texts of which a half is the same share bands, but are no near-duplicates; two of them are."""
+    common = " ".join(f"c{i}" for i in range(100))
+    rows = [(k, common + " " + " ".join(f"d{k}x{i}" for i in range(60))) for k in range(120)]
+    rows += [(200 + k, rows[k][1] + " more words") for k in (3, 77)]
+    out = simhash.keep_one(documents(rows))
+    assert {r.doc_id for r in out.collect()} == brute_kept(rows) == set(range(120))
+
+
+def test_bounds_of_chance():
+    from math import comb
+
+    n = shingles.BANDS * shingles.ROWS
+    assert sum(comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(shingles.EQUAL)) < 0.0005
+    assert (1 - 0.8**shingles.ROWS) ** shingles.BANDS < 0.0003
