@@ -13,9 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import decontaminate, language, packing, similar, suffix_dedup
+from tarn.llm import decontaminate, language, packing, simhash, suffix_dedup
 from tarn.llm.common import cut, table
 
+#: The query's 400 bytes are its contract; here passages of over 50 words go, nearly all of which have as many bytes as this.
+REPEATED = 240
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that language identification rejects go."""
@@ -23,13 +26,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents whose five-word shingles are alike to 0.8 or more one stays."""
-    return similar.keep_one(docs)
+    """Of each group of documents whose sets of five-word shingles are alike to 0.8 or more one stays."""
+    return simhash.keep_one(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings that also start elsewhere go from the texts."""
-    return suffix_dedup.rewritten(docs)
+    """Strings of REPEATED bytes that also start elsewhere go from the texts."""
+    return suffix_dedup.rewritten(docs, REPEATED)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
