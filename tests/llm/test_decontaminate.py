@@ -34,10 +34,13 @@ def brute(docs, items):
     for i, text in docs:
         for k, item in items:
             want = dc.plain(item)
-            if item is None or text is None or want.count(" ") + 1 < dc.MIN_WORDS:
+            if not want or text is None:
                 continue
-            d = distance(want, dc.plain(text))
-            if d <= int(dc.RATE * len(want)):
+            budget = int(dc.RATE * len(want)) if want.count(" ") + 1 >= dc.MIN_WORDS else 0
+            if not budget:
+                if f" {want} " in f" {dc.plain(text)} ":
+                    out.add((i, k, 0))
+            elif (d := distance(want, dc.plain(text))) <= budget:
                 out.add((i, k, d))
     return out
 
@@ -66,6 +69,29 @@ def test_edited_passages_are_found_and_nothing_else(spark, documents, clashing):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - {i for i, *_ in want}
 
 
+def test_short_items_are_found_unchanged_between_word_borders(spark, documents):
+    items = [(1, "what is love"), (2, "cat"), (3, "?!"), (4, "a b c d e")]
+    docs = [(1, "so what is love now"), (2, "concatenate"), (3, "the CAT, sat"), (4, "what is lover"), (5, "What is; love"), (6, "xa b c d e"), (7, "z a b c d e")]
+    got = {(r.doc_id, r.item_id, r.edits) for r in dc.matches(documents(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute(docs, items) == {(1, 1, 0), (5, 1, 0), (3, 2, 0), (7, 4, 0)}
+
+
+def test_edits_in_whole_texts_of_a_table(spark, sf_dir):
+    """Passages of the benchmark with edits, put into texts of the table; every pair is held against the plain distance."""
+    rng = random.Random(6)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 900").orderBy("doc_id").limit(25).collect()]
+    docs = []
+    for i, text in rows:
+        chars = list(dc.plain(rng.choice(items)[1]))
+        for _ in range(int(len(chars) * rng.choice((0, 0.05, 0.09, 0.1, 0.11, 0.2)))):
+            chars[rng.randrange(len(chars))] = rng.choice(("", "q", "xy"))
+        docs.append((i, f"{text} {''.join(chars)} {text[:50]}"))
+    some = items[:12]
+    got = {(r.doc_id, r.item_id, r.edits) for r in dc.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(some, "item_id long, text string")).collect()}
+    assert got == brute(docs, some)
+
+
 def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     df = documents([(1, "a b c d e f")])
