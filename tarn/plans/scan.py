@@ -30,6 +30,8 @@ DECODED_HERE = 1 << 20
 _CHUNK = 8192
 #: Files of a version whose list a snapshot may keep.
 MEMO_FILES = 100_000
+#: Files of a version whose statistics a snapshot may keep as a local relation, on which Catalyst decides without a job.
+LOCAL_FILES = 4096
 _PHYSICAL, _ID = "delta.columnMapping.physicalName", "delta.columnMapping.id"
 
 
@@ -126,9 +128,9 @@ def _physical_path(fields: list[T.StructField], path, mode: str):
     return out, t
 
 
-def live_files(snapshot: Snapshot, where: predicate.Expr | None = None) -> DataFrame:
-    """Files that may hold rows for which where is true."""
-    files = snapshot.files
+def live_files(snapshot: Snapshot, where: predicate.Expr | None = None, files: DataFrame | None = None) -> DataFrame:
+    """Files, of all or of those given, that may hold rows for which where is true."""
+    files = snapshot.files if files is None else files
     if where is None:
         return files
     mode = snapshot.metadata.mapping_mode
@@ -165,19 +167,28 @@ def live_files(snapshot: Snapshot, where: predicate.Expr | None = None) -> DataF
 def chosen(snapshot: Snapshot, where: predicate.Expr | None = None) -> list[DataFile]:
     """The file list of a scan, which the reader needs on the driver as it does for any table. Files all of whose rows
     are deleted are not in it."""
-    if where is None and snapshot.memo.get("files") is not None:
-        return snapshot.memo["files"]
+    memo = snapshot.memo
+    if where is None and memo.get("files") is not None:
+        return memo["files"]
+    if memo.get("skipping") is not None:
+        left = {r.path for r in live_files(snapshot, where, memo["skipping"]).select("path").collect()}
+        return [f for f in memo["files"] if memo["names"][f.path] in left]
     mode = snapshot.metadata.mapping_mode
     names = [physical_name(snapshot.schema[c], mode) for c in snapshot.metadata.partition_columns]
-    rows = live_files(snapshot, where).select("path", "size", "partitionValues", "deletionVector", F.get_json_object("stats", "$.numRecords").cast("long").alias("records")).collect()
-    out = []
+    rows = live_files(snapshot, where).select("path", "size", "partitionValues", "deletionVector", "stats", F.get_json_object("stats", "$.numRecords").cast("long").alias("records")).collect()
+    out, kept = [], {}
     for r in sorted(rows, key=lambda r: r.path):
         values = r.partitionValues or {}
         if r.deletionVector and r.records is not None and r.deletionVector.cardinality == r.records:
             continue
         out.append(DataFile(resolved(snapshot.root, r.path), r.size, tuple(values.get(n) for n in names), r.deletionVector, r.records))
+        kept[out[-1].path] = r
     if where is None and len(out) <= MEMO_FILES:
-        snapshot.memo["files"] = out
+        memo["files"] = out
+        if 0 < len(out) <= LOCAL_FILES:
+            values = pa.array([list((r.partitionValues or {}).items()) for r in kept.values()], pa.map_(pa.string(), pa.string()))
+            local = pa.table({"path": pa.array([r.path for r in kept.values()], pa.string()), "partitionValues": values, "stats": pa.array([r.stats for r in kept.values()], pa.string())})
+            memo["names"], memo["skipping"] = {at: r.path for at, r in kept.items()}, snapshot.spark.createDataFrame(local)
     return out
 
 
