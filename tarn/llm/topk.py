@@ -6,8 +6,9 @@ sum over terms of the larger of weight * largest and weight * smallest bounds ev
 blocks by that bound for each query and scores them through their forward indexes until the bounds fall below the query's
 kth score so far; a bound that equals it is still scored, as ties go to the smaller vec_id.
 
-Queries come in groups of QUERY_GROUP, which bounds what is broadcast; a task holds BLOCKS blocks at a time. What a task
-emits is k rows a query; these meet in one aggregation by query, which keeps k rows a task before the shuffle.
+Queries come in groups of QUERY_GROUP, which bounds what is collected and broadcast: one group at a time is on the driver
+and the executors, and what its pass finds is stored before the next. A task holds BLOCKS blocks at a time. What a task
+emits is k rows a query; a window by query ranks these, of which Spark drops all but k a task before the shuffle.
 
 Scores are computed in doubles where no sum can exceed 2**53, else in Python's integers, and clipped to a long.
 
@@ -19,9 +20,10 @@ query is asked once for each distinct vector; with fewer than k candidates all c
 from __future__ import annotations
 
 import heapq
+import pickle
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, cut
@@ -109,52 +111,63 @@ def search(query_ids, queries: np.ndarray, blocks: list[Block], k: int, best: li
                         heapq.heapreplace(heap, item)
 
 
-def _groups(asked: DataFrame, group: int):
-    """The queries in groups of about `group`, collected one group at a time."""
-    n = -(-asked.count() // group)
-    for g in range(n):
-        yield sorted((r.vec_id, tuple(r.vector)) for r in asked.where(F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n)) == g).collect())
-
-
 def top_k(vectors: DataFrame, is_query=None, k: int = K, group: int = QUERY_GROUP) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all other vectors for each query (default: vec_id divisible by 100)."""
+    context = vectors.sparkSession.sparkContext
     rows = cut(valid(vectors), "vectors")
     asked = rows.where((F.col("vec_id") % 100 == 0) if is_query is None else is_query).distinct()
-    out = vectors.sparkSession.createDataFrame([], RESULT)
-    for queries in _groups(asked, group):
-
-        def run(batches, queries=queries):
-            ids = np.array([q for q, _ in queries], np.int64)
-            best: list[list] = [[] for _ in ids]
-            held_ids: list[int] = []
-            held: list = []
-
-            def flush():
-                width = max(max(map(len, held)), max(len(v) for _, v in queries))
-                asking = matrix([whole(v) for _, v in queries], width)
-                order = np.argsort(held_ids, kind="stable")
-                blocks = [Block([held_ids[i] for i in order[a : a + BLOCK]], [held[i] for i in order[a : a + BLOCK]], width) for a in range(0, len(order), BLOCK)]
-                search(ids, asking, blocks, k, best)
-                held_ids.clear()
-                held.clear()
-
-            for batch in batches:
-                flat = batch.column("vector")
-                values, ends = whole(flat.flatten().to_numpy(zero_copy_only=False)), np.cumsum([0, *flat.value_lengths().to_pylist()])
-                for i, vec_id in enumerate(batch.column("vec_id").to_pylist()):
-                    held_ids.append(vec_id)
-                    held.append(values[ends[i] : ends[i + 1]])
-                    if len(held) >= BLOCK * BLOCKS:
-                        flush()
-            if held:
-                flush()
-            found = [(int(q), -v, s) for q, heap in zip(ids, best, strict=True) for s, v in heap]
-            yield {c: [r[i] for r in found] for i, c in enumerate(("query_id", "vec_id", "score"))}
-
-        out = out.unionByName(arrow_map(rows, run, RESULT))
-    # ties to the smaller id: the order of (score, -id); a slice of the sorted list keeps k a query
-    lists = out.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("score", (-F.col("vec_id")).alias("back"))), asc=False), 1, k).alias("best"))
-    return lists.select("query_id", F.posexplode("best").alias("rank", "x")).select("query_id", (F.col("rank") + 1).alias("rank"), (-F.col("x.back")).alias("vec_id"), F.col("x.score").alias("score"))
+    n = -(-asked.count() // group)
+    if n > 1:
+        # the groups are files of their own, so that each is read once
+        asked = cut(asked.withColumn("group", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n))).repartitionByRange(n, "group"), "asked")
+    parts, shared = [], None
+    for g in range(n):
+        queries = sorted((r.vec_id, tuple(r.vector)) for r in (asked.where(F.col("group") == g) if n > 1 else asked).select("vec_id", "vector").collect())
+        if parts:
+            parts[-1] = cut(parts[-1], "found")
+            shared.unpersist()
+        shared = context.broadcast(pickle.dumps(queries))
+        parts.append(_pass(rows, shared, k))
+    out = parts[0] if parts else vectors.sparkSession.createDataFrame([], RESULT)
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _pass(rows: DataFrame, shared, k: int) -> DataFrame:
+    """The k best of each task for each query of one group."""
+
+    def run(batches):
+        queries = pickle.loads(shared.value)
+        ids = np.array([q for q, _ in queries], np.int64)
+        best: list[list] = [[] for _ in ids]
+        held_ids: list[int] = []
+        held: list = []
+
+        def flush():
+            width = max(max(map(len, held)), max(len(v) for _, v in queries))
+            asking = matrix([whole(v) for _, v in queries], width)
+            order = np.argsort(held_ids, kind="stable")
+            blocks = [Block([held_ids[i] for i in order[a : a + BLOCK]], [held[i] for i in order[a : a + BLOCK]], width) for a in range(0, len(order), BLOCK)]
+            search(ids, asking, blocks, k, best)
+            held_ids.clear()
+            held.clear()
+
+        for batch in batches:
+            flat = batch.column("vector")
+            values, ends = whole(flat.flatten().to_numpy(zero_copy_only=False)), np.cumsum([0, *flat.value_lengths().to_pylist()])
+            for i, vec_id in enumerate(batch.column("vec_id").to_pylist()):
+                held_ids.append(vec_id)
+                held.append(values[ends[i] : ends[i + 1]])
+                if len(held) >= BLOCK * BLOCKS:
+                    flush()
+        if held:
+            flush()
+        found = [(int(q), -v, s) for q, heap in zip(ids, best, strict=True) for s, v in heap]
+        yield {c: [r[i] for r in found] for i, c in enumerate(("query_id", "vec_id", "score"))}
+
+    return arrow_map(rows, run, RESULT)
 
 
 ORACLE = """
