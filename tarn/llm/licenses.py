@@ -6,8 +6,9 @@ label if it holds at least CONTAINMENT of the template's distinct words.
 
 The join: template words are ordered by their frequency in all documents, rarest first. A block that holds `need` of a
 template's n words holds one of its n - need + 1 rarest, so only lines and documents with such a word (the prefix filter)
-are taken further; blocks are joined with templates on prefix words, kept if they have enough words (length filter) and if
-the words not yet passed in the order can still make up `need` (positional filter); the rest is verified by intersection.
+are taken further. There a block is the sorted places that its words have in the order; it is kept if these are enough (length
+filter), joined with templates on prefix words, and kept if what comes from the match on, in the template and in the block,
+can make up `need` (positional filter: the first word that both have is in the prefix); the rest is verified by intersection.
 Templates are constants of this module, a few kilobytes, so their index is broadcast.
 
 Cases: a null text counts as empty: no words, no labels, score 0; repeated rows each get a row; an empty table gives no
@@ -87,34 +88,38 @@ def frequencies(keyed: DataFrame) -> dict[str, int]:
     return dict.fromkeys(every, 0) | {r.word: r["count"] for r in rows.groupBy("word").count().collect()}
 
 
-def template_index(counts: dict[str, int], containment: float = CONTAINMENT) -> tuple[list, list]:
-    """(template, label, words in order, need), and (word, template, place in the order) of prefixes."""
-    templates, prefixes = [], []
+def template_index(counts: dict[str, int], containment: float = CONTAINMENT) -> tuple[list[str], list]:
+    """The words of all templates, rarest first, and for each template and each word of its prefix: (place of the word among
+    all, template, label, place of the word in the template, the template's places, need)."""
+    order = sorted({w for words in TEMPLATE_WORDS for w in words}, key=lambda w: (counts.get(w, 0), w))
+    rank = {w: i for i, w in enumerate(order, 1)}
+    prefixes = []
     for k, ((label, _), words) in enumerate(zip(TEMPLATES, TEMPLATE_WORDS, strict=True)):
-        words = sorted(words, key=lambda w: (counts.get(w, 0), w))
-        need = math.ceil(containment * len(words) - 1e-9)
-        templates.append((k, label, words, need))
-        prefixes += [(w, k, i) for i, w in enumerate(words[: len(words) - need + 1])]
-    return templates, prefixes
+        of = sorted(rank[w] for w in words)
+        need = math.ceil(containment * len(of) - 1e-9)
+        prefixes += [(r, k, label, i, of, need) for i, r in enumerate(of[: len(of) - need + 1])]
+    return order, prefixes
 
 
 def similar(keyed: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """(doc_id, text_hash, label, share) of templates that a block of the row meets."""
     spark = keyed.sparkSession
-    templates, prefixes = template_index(frequencies(keyed), containment)
-    rare = F.array(*(F.lit(w) for w in sorted({w for w, _, _ in prefixes})))
+    order, prefixes = template_index(frequencies(keyed), containment)
+    rare = F.array(*(F.lit(order[r - 1]) for r in sorted({x[0] for x in prefixes})))
+    vocabulary = F.array(*(F.lit(w) for w in order))
     words = lambda c: F.split(_lower(spaced(c)), " ")
     candidates = keyed.where(F.arrays_overlap(words(F.col("text")), rare))
     blocks = F.array_distinct(F.concat(F.split("text", "\n"), F.split("text", r"\n[ \t\r]*\n")))
     blocks = candidates.select("doc_id", "text_hash", F.explode(blocks).alias("block")).select("doc_id", "text_hash", F.array_distinct(words(F.col("block"))).alias("words")).where(F.arrays_overlap("words", rare))
-    index = spark.createDataFrame([(w, k, i, templates[k][1], templates[k][2], templates[k][3]) for w, k, i in prefixes], "word string, template int, place int, label string, of array<string>, need int")
-    # the two empty strings around the words are one distinct element
-    size = F.size("words") - 1
+    places = F.array_sort(F.filter(F.transform("words", lambda w: F.array_position(vocabulary, w).cast("int")), lambda p: p > 0))
+    index = spark.createDataFrame(prefixes, "rank int, template int, label string, place int, of array<int>, need int")
     met = (
-        blocks.withColumn("word", F.explode("words"))
-        .join(F.broadcast(index), "word")
-        .where((size >= F.col("need")) & (F.size("of") - F.col("place") >= F.col("need")))
-        .select("doc_id", "text_hash", "label", "need", "of", F.size(F.array_intersect("words", "of")).alias("shared"))
+        blocks.select("doc_id", "text_hash", places.alias("places"))
+        .where(F.size("places") >= min(x[5] for x in prefixes))
+        .select("doc_id", "text_hash", "places", F.posexplode("places").alias("at", "rank"))
+        .join(F.broadcast(index), "rank")
+        .where((F.size("places") >= F.col("need")) & (F.least(F.size("of") - F.col("place"), F.size("places") - F.col("at")) >= F.col("need")))
+        .select("doc_id", "text_hash", "label", "need", "of", F.size(F.array_intersect("places", "of")).alias("shared"))
         .where("shared >= need")
     )
     return met.groupBy("doc_id", "text_hash").agg(F.collect_set("label").alias("found"), F.max(F.col("shared") / F.size("of")).alias("share"))

@@ -67,8 +67,10 @@ def test_no_python_in_the_plan(spark, documents):
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.sampled_from([w for t in lic.TEMPLATE_WORDS for w in t]), st.integers(0, 5)))
 def test_prefixes_cannot_miss(counts):
-    templates, prefixes = lic.template_index(counts)
-    for k, _, of, need in templates:
-        mine = [w for w, t, _ in prefixes if t == k]
+    order, prefixes = lic.template_index(counts)
+    for k, words_of in enumerate(lic.TEMPLATE_WORDS):
+        mine = [x for x in prefixes if x[1] == k]
+        _, _, _, _, of, need = mine[0]
+        assert {order[r - 1] for r in of} == set(words_of) and [x[0] for x in mine] == of[: len(mine)]
         # any `need` words of a template hold one of its prefix
         assert len(of) - len(mine) < need
