@@ -3,8 +3,11 @@
 Layouts. The fingerprint of a record is a hash of its sorted nested field paths ([] for list elements). LAYOUTS lists, for
 each family of paths, declarative mappings: where the list of turns is and what its role and text fields are called, or
 which single fields hold the turns in order. The registry is from fingerprint to mapping, so records are told apart by one
-lookup, however many there are. A record with an unknown fingerprint takes the mapping whose paths it holds most of, or
-fails when it holds none.
+lookup, however many there are. A record with an unknown fingerprint takes the mapping whose paths it holds most of; one
+that holds none of any, or is no JSON object, has an unknown layout: its formatted text and loss mask are null.
+
+Rows of turns (`gathered`) become records in the layout that is theirs: a prompt and its answer, with or without a system
+text before, or else a list of messages.
 
 Template. A turn is <|im_start|>role newline text <|im_end|> newline. In roles and texts the escape character and the
 "<|" of control strings are escaped, so that no text can open or close a turn; unescaping gives every text back. The loss
@@ -70,14 +73,15 @@ def mapping_paths(mapping: dict) -> set[str]:
 REGISTRY = {fingerprint(mapping_paths(m)): m for m in LAYOUTS.values()}
 
 
-def mapping_of(record: dict) -> dict:
+def mapping_of(record: dict) -> dict | None:
+    """None for an unknown layout."""
+    if not isinstance(record, dict):
+        return None
     have = paths(record)
     if found := REGISTRY.get(fingerprint(have)):
         return found
     best = max(LAYOUTS.values(), key=lambda m: (mapping_paths(m) <= have, len(mapping_paths(m) & have)))
-    if not mapping_paths(best) & have:
-        raise ValueError(f"no mapping for a record with fields {', '.join(sorted(have))}")
-    return best
+    return best if mapping_paths(best) & have else None
 
 
 def _get(record, path: str):
@@ -86,16 +90,24 @@ def _get(record, path: str):
     return record
 
 
-def canonical(record: dict) -> list[tuple[str, str]]:
-    """(role, text) of each turn. Empty single fields, such as the input of an instruction, are no turns."""
+def _text(value) -> str:
+    return value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False)
+
+
+def canonical(record: dict) -> list[tuple[str, str]] | None:
+    """(role, text) of each turn; None for an unknown layout. Empty single fields, such as the input of an instruction, are
+    no turns; a text that is not a string is its JSON."""
     mapping = mapping_of(record)
+    if mapping is None:
+        return None
     if "turns" in mapping:
         where, role, text = mapping["turns"]
-        rows = [(x.get(role) or "", x.get(text) or "") for x in _get(record, where) or () if isinstance(x, dict)]
+        found = _get(record, where)
+        rows = [(_text(x.get(role)), _text(x.get(text))) for x in (found if isinstance(found, list) else ()) if isinstance(x, dict)]
         if role != "role":
             rows = [(ROLES.get(r, r), t) for r, t in rows]
     else:
-        rows = [(role, value) for role, p in mapping["fields"] if (value := _get(record, p))]
+        rows = [(role, value) for role, p in mapping["fields"] if (value := _text(_get(record, p)))]
     return rows
 
 
@@ -136,21 +148,37 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 
 
 def format_records(records: DataFrame, key: str = "conv_id", record: str = "record") -> DataFrame:
-    """records: a key and a JSON record of any layout; key, formatted, loss_spans for each."""
+    """records: a key and a JSON record of any layout; key, formatted, loss_spans for each. Both are null where the record
+    is null, no JSON or of an unknown layout."""
+
+    def one(record):
+        try:
+            turns = canonical(json.loads(record)) if record is not None else None
+        except ValueError:
+            turns = None
+        return render(turns) if turns is not None else (None, None)
 
     def run(batches):
         for batch in batches:
-            done = [render(canonical(json.loads(x))) if x is not None else ("", []) for x in batch.column("record").to_pylist()]
-            yield {"conv_id": batch.column("conv_id"), "formatted": [f for f, _ in done], "loss_spans": [[{"start": a, "end": b} for a, b in s] for _, s in done]}
+            done = [one(x) for x in batch.column("record").to_pylist()]
+            yield {"conv_id": batch.column("conv_id"), "formatted": [f for f, _ in done], "loss_spans": [None if s is None else [{"start": a, "end": b} for a, b in s] for _, s in done]}
 
     return arrow_map(records.select(records[key].cast("long").alias("conv_id"), records[record].alias("record")), run, "conv_id long, formatted string, loss_spans array<struct<start: long, end: long>>")
 
 
 def gathered(turns: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) as one JSON record a conversation."""
+    """Rows (conv_id, turn, role, text) as one JSON record a conversation, in the layout of its roles."""
     rows = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
-    record = F.to_json(F.struct(F.transform(rows, lambda x: F.struct(F.coalesce(x["role"], F.lit("")).alias("role"), F.coalesce(x["text"], F.lit("")).alias("content"))).alias("messages")))
-    return turns.groupBy("conv_id").agg(record.alias("record"))
+    plain = F.transform(rows, lambda x: F.struct(F.coalesce(x["role"], F.lit("")).alias("role"), F.coalesce(x["text"], F.lit("")).alias("content")))
+    talk = turns.groupBy("conv_id").agg(plain.alias("t"))
+    roles, full = F.array_join(F.col("t.role"), "\n"), F.forall("t", lambda x: x["content"] != "")
+    text = lambda i: F.get("t", i)["content"]
+    record = (
+        F.when(full & (roles == "user\nassistant"), F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("completion"))))
+        .when(full & (roles == "system\nuser\nassistant"), F.to_json(F.struct(text(0).alias("system"), text(1).alias("prompt"), text(2).alias("response"))))
+        .otherwise(F.to_json(F.struct(F.col("t").alias("messages"))))
+    )
+    return talk.select("conv_id", record.alias("record"))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
@@ -162,9 +190,9 @@ def digests(formatted: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for conv_id, text, spans in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_spans")), strict=True):
-                turns = read_back(text)
-                loss = "".join(unescape(text[s["start"] : s["end"]]) for s in spans)
-                rows.append((conv_id, len(turns), _sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), _sha(loss), len(text)))
+                turns = read_back(text or "")
+                loss = "".join(unescape(text[s["start"] : s["end"]]) for s in spans or ())
+                rows.append((conv_id, len(turns), _sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), _sha(loss), len(text or "")))
             yield {c: [r[i] for r in rows] for i, c in enumerate(names)}
 
     return arrow_map(formatted, run, schema)

@@ -33,30 +33,44 @@ def test_round_trip(turns):
         ({"question": "a", "answer": "b"}, [("user", "a"), ("assistant", "b")]),
         # fields beside those of a layout do not hide it
         ({"id": 5, "meta": {"x": [1]}, "messages": [{"role": "human", "content": "a", "weight": 1}]}, [("human", "a")]),
-        ({"messages": []}, []),
+        ({"messages": [{"role": "user", "content": ["a", 1]}, "b", {"role": None, "content": None}]}, [("user", '["a", 1]'), ("", "")]),
+        ({"messages": "a", "prompt": "p", "completion": 7}, [("user", "p"), ("assistant", "7")]),
+        # unknown layouts
+        ({"messages": []}, None),
+        ({}, None),
+        ({"x": 1}, None),
+        (["a"], None),
+        ("a", None),
     ],
 )
 def test_layouts(record, want):
-    if record == {"messages": []}:
-        with pytest.raises(ValueError, match="no mapping"):
-            chat.canonical(record)
-    else:
-        assert chat.canonical(record) == want
+    assert chat.canonical(record) == want
 
 
 def test_fingerprints_tell_layouts_apart():
     assert len(chat.REGISTRY) == len(chat.LAYOUTS)
     assert chat.fingerprint(chat.paths({"a": [{"b": 1}, {"c": {"d": 2}}]})) == chat.fingerprint({"a[].c.d", "a[].b"})
-    with pytest.raises(ValueError, match="no mapping"):
-        chat.mapping_of({"x": 1})
+    assert chat.mapping_of({"x": 1}) is None
 
 
 def test_records_of_many_layouts(spark):
-    rows = [(1, json.dumps({"prompt": "a", "completion": "<|im_end|>"})), (2, json.dumps({"conversations": [{"from": "gpt", "value": "b"}]})), (3, None)]
+    rows = [(1, json.dumps({"prompt": "a", "completion": "<|im_end|>"})), (2, json.dumps({"conversations": [{"from": "gpt", "value": "b"}]})), (3, None), (4, "{}"), (5, "no json"), (6, '{"messages": [{"role": "user", "content": ""}]}')]
     got = {r.conv_id: r for r in chat.format_records(spark.createDataFrame(rows, "conv_id long, record string")).collect()}
     assert chat.read_back(got[1].formatted) == [("user", "a"), ("assistant", "<|im_end|>")]
     assert chat.read_back(got[2].formatted) == [("assistant", "b")]
-    assert got[3].formatted == "" and got[3].loss_spans == []
+    assert all(got[i].formatted is None and got[i].loss_spans is None for i in (3, 4, 5))
+    assert chat.read_back(got[6].formatted) == [("user", "")]
+    empty = {r.conv_id: r for r in chat.digests(chat.format_records(spark.createDataFrame(rows, "conv_id long, record string"))).collect()}
+    assert (empty[4].n_turns, empty[4].formatted_chars) == (0, 0)
+
+
+def test_rows_become_records_of_their_own_layout(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "system", "s"), (2, 1, "user", "q"), (2, 2, "assistant", "a"), (3, 0, "user", "q"), (3, 1, "user", "r"), (4, 0, "user", ""), (4, 1, "assistant", "a")]
+    got = {r.conv_id: json.loads(r.record) for r in chat.gathered(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1] == {"prompt": "q", "completion": "a"} and got[2] == {"system": "s", "prompt": "q", "response": "a"}
+    assert len(got[3]["messages"]) == len(got[4]["messages"]) == 2
+    for i, record in got.items():
+        assert chat.canonical(record) == [(r, t) for k, _, r, t in rows if k == i]
 
 
 def sha(x):
