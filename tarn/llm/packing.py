@@ -2,7 +2,11 @@
 
 Only lengths matter to a packing, so a chromosome is a list of bins and a bin a tuple of piece lengths; pieces of one
 length stand for each other. A child takes whole well-filled bins from one parent (crossover), keeps those bins of the
-other parent whose pieces are still there (which removes duplicates), and best-fits the pieces this displaces.
+other parent whose pieces are still there (which removes duplicates). The pieces that this displaces first fill bins to the
+brim, as they are or in exchange for a piece of the bin (`exchange`); of the rest, each longest piece opens a bin that gets
+the best fitting set of others (`fill`). A mutant is a parent whose worst bins, and a few others, are taken apart. Plain best
+fit is the first ancestor. A packing with as many bins as the sum of lengths needs ends the search; on the given documents
+best fit is mostly one bin above that in an island, and the search finds that bin.
 
 Islands: every task evolves its own pieces, ISLAND of them at a time. After an epoch, full sequences are settled;
 the pieces of the others, far fewer, move to islands drawn anew and GROWTH times as large, and the commonest well-filled bins of all islands (the elite, at
@@ -15,6 +19,7 @@ are packed each for itself; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import random
 import zlib
 from array import array
@@ -32,8 +37,11 @@ ISLAND = 8192
 GROWTH = 4
 ELITE = 256
 EPOCHS = 3
-POPULATION = 4
-GENERATIONS = 6
+POPULATION = 6
+GENERATIONS = 24
+#: Lengths that a search for a pair looks at, and those of the longest and of the others from which a bin's set is chosen.
+PAIRS = 64
+LONGEST, OTHERS = 12, 28
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECE + ", sequence_id long, offset long, fill long, pattern string"
 
@@ -90,8 +98,75 @@ def best_fit(bins: list[list[int]], sizes: list[int], capacity: int) -> None:
             mask |= 1 << left
 
 
-def child_of(injected, kept, counts: Counter, capacity: int) -> list[list[int]]:
-    """Injected bins first, then those of the other parent, as far as their pieces are left; the rest is best-fitted."""
+def _pair(left: dict[int, int], total: int) -> tuple[int, ...]:
+    """One or two pieces of left, as lengths, that make up total; () if none is found."""
+    if left.get(total, 0) > 0:
+        return (total,)
+    for k, (a, n) in enumerate(left.items()):
+        if k == PAIRS:
+            break
+        if 0 < n and 0 < a < total and left.get(total - a, 0) > (a == total - a):
+            return a, total - a
+    return ()
+
+
+def exchange(bins: list[list[int]], left: dict[int, int], capacity: int) -> None:
+    """Fill bins to the brim with one or two pieces of left, or with such in exchange for one of the bin's pieces."""
+    for b in bins:
+        room = capacity - sum(b)
+        if not room:
+            continue
+        for out in (0, *sorted(set(b))):
+            if found := _pair(left, room + out):
+                if len(found) == 1 and found[0] == out:
+                    continue
+                for s in found:
+                    left[s] -= 1
+                    if not left[s]:
+                        del left[s]
+                if out:
+                    b.remove(out)
+                    left[out] = left.get(out, 0) + 1
+                b += found
+                break
+
+
+def fill(bins: list[list[int]], left: dict[int, int], capacity: int, rng: random.Random) -> None:
+    """New bins for all of left: each begins with the longest piece and gets, of a choice of the others, the set that comes
+    nearest to capacity. Sums are bits of a number; longer pieces are taken first, as short ones fit later too."""
+    sizes = sorted(left)
+    while sizes:
+        b = [sizes[-1]]
+        left[b[0]] -= 1
+        if not left[b[0]]:
+            sizes.pop()
+        room = capacity - b[0]
+        fit = bisect.bisect_right(sizes, room)
+        if fit <= LONGEST + OTHERS:
+            pool = sizes[:fit][::-1]
+        else:
+            pool = sizes[fit - LONGEST : fit][::-1] + sorted((sizes[i] for i in rng.sample(range(fit - LONGEST), OTHERS)), reverse=True)
+        pool = [s for s in pool for _ in range(min(left[s], 2))]
+        mask, sums = (1 << room + 1) - 1, [1]
+        for s in pool:
+            sums.append((sums[-1] | sums[-1] << s) & mask)
+            if sums[-1] >> room & 1:
+                break
+        total = sums[-1].bit_length() - 1
+        for k in range(len(sums) - 1, 0, -1):
+            if not sums[k - 1] >> total & 1:
+                s = pool[k - 1]
+                b.append(s)
+                total -= s
+                left[s] -= 1
+                if not left[s]:
+                    del sizes[bisect.bisect_left(sizes, s)]
+        bins.append(b)
+
+
+def child_of(injected, kept, counts: Counter, capacity: int, rng: random.Random | None = None) -> list[list[int]]:
+    """Injected bins first, then those of the other parent, as far as their pieces are left; then what this displaced, which
+    is best-fitted where there is no rng."""
     left = dict(counts)
     bins = []
     for group in (injected, kept):
@@ -106,7 +181,12 @@ def child_of(injected, kept, counts: Counter, capacity: int) -> list[list[int]]:
                 left[s] -= 1
             if ok:
                 bins.append(list(b))
-    best_fit(bins, [s for s, n in left.items() for _ in range(n)], capacity)
+    left = {s: n for s, n in sorted(left.items(), reverse=True) if n}
+    if rng is None:
+        best_fit(bins, [s for s, n in left.items() for _ in range(n)], capacity)
+    else:
+        exchange(bins, left, capacity)
+        fill(bins, left, capacity, rng)
     return bins
 
 
@@ -122,23 +202,36 @@ def evolve(sizes: list[int], elite=(), seed: int = 0, capacity: int = CAPACITY,
     rng = random.Random(seed)
     counts = Counter(sizes)
     least = -(-sum(sizes) // capacity)
-    people = [child_of((), (), counts, capacity)]
-    if elite:
-        people.append(child_of(elite, (), counts, capacity))
-    while len(people) < population and len(people[0]) > least:
-        start = rng.sample(people[0], k=max(1, len(people[0]) // 2))
-        people.append(child_of([b for b in start if sum(b) >= capacity - 2], (), counts, capacity))
-    for _ in range(generations):
-        people.sort(key=lambda p: fitness(p, capacity), reverse=True)
-        if len(people[0]) <= least or len(people) < 2:
+    first = child_of((), (), counts, capacity)
+    if len(first) <= least:
+        return first
+    people = [(fitness(first, capacity), first)]
+
+    def born(injected, kept):
+        child = child_of(injected, kept, counts, capacity, rng)
+        people.append((fitness(child, capacity), child))
+
+    born(elite, ())
+    for generation in range(generations):
+        people.sort(key=lambda p: p[0], reverse=True)
+        del people[population:]
+        best = people[0][1]
+        if len(best) <= least:
             break
-        a, b = people[0], people[1 + rng.randrange(len(people) - 1)]
-        if rng.random() < 0.5:
-            a, b = b, a
-        good = sorted((x for x in a if sum(x) >= capacity - 1), key=sum, reverse=True)
-        child = child_of(rng.sample(good, k=(len(good) + 1) // 2), sorted(b, key=sum, reverse=True)[: -(len(b) // 20 + 1)], counts, capacity)
-        people[-1] = child
-    return max(people, key=lambda p: fitness(p, capacity))
+        a = best if generation % 2 == 0 else rng.choice(people)[1]
+        b = rng.choice(people)[1]
+        # the bins that are full, or the fullest: some of one parent go into the other, whose worst come apart
+        order = sorted(b, key=sum)
+        worst = max(2, len(order) // rng.choice((10, 20, 40)))
+        gone = set(rng.sample(range(len(order)), k=min(len(order), worst))) | set(range(worst))
+        kept = [x for i, x in enumerate(order) if i not in gone]
+        rng.shuffle(kept)
+        if a is b:
+            born((), kept)
+        else:
+            good = [x for x in a if sum(x) >= capacity - 1]
+            born(rng.sample(good, k=(len(good) + 1) // 2), kept)
+    return max(people, key=lambda p: p[0])[1]
 
 
 def place(rows: dict[str, list], elite, seed: int, first_id: int, capacity: int = CAPACITY) -> dict[str, list]:

@@ -1,3 +1,4 @@
+import random
 import zlib
 from array import array
 
@@ -82,11 +83,28 @@ def test_evolution_keeps_every_piece(sizes, seed):
     assert all(sum(b) <= 100 for b in bins)
 
 
-def test_evolution_betters_best_fit():
-    # three of 26 + 37 + 37 fill bins; longest-first best fit does not find them all
-    sizes = [44, 24, 24, 22, 21, 17, 8, 8, 6, 6] * 6
-    first = packing.child_of((), (), packing.Counter(sizes), 60)
-    assert len(packing.evolve(sizes, capacity=60, generations=60, population=8)) <= len(first)
+@pytest.mark.parametrize("seed", range(4))
+def test_evolution_betters_best_fit(seed):
+    rng = random.Random(seed)
+    # bins of three that fill up; longest-first best fit takes the wrong ones
+    sizes = []
+    for _ in range(60):
+        a = rng.randrange(380, 490)
+        b = rng.randrange(250, (1024 - a) // 2 + 1)
+        sizes += [a, b, 1024 - a - b]
+    first = packing.child_of((), (), packing.Counter(sizes), 1024)
+    found = packing.evolve(sizes)
+    assert sorted(x for b in found for x in b) == sorted(sizes) and all(sum(b) <= 1024 for b in found)
+    assert len(found) <= 62 < len(first) - 5
+    # many pieces of any length, of which best fit leaves some over
+    sizes = [rng.randrange(100, 700) for _ in range(2000)]
+    assert len(packing.evolve(sizes)) < len(packing.child_of((), (), packing.Counter(sizes), 1024))
+
+
+def test_crossover_keeps_bins_of_both_parents():
+    counts = packing.Counter([60, 40, 55, 45, 50, 50, 30])
+    child = packing.child_of([[60, 40]], [[60, 40], [50, 50], [55, 30]], counts, 100, random.Random(0))
+    assert [60, 40] in child and [50, 50] in child and sum(map(sum, child)) == 330 and len(child) == 4
 
 
 def test_elite_patterns_are_injected():
