@@ -5,7 +5,8 @@ BUCKETS embeddings. A text is the mean of its embeddings; a linear layer and sof
 embedding and layer are one table of logits by bucket, so that a whole text of any length is a sum of table rows.
 
 Training: at most SAMPLE labelled rows a language (in expectation, by a hash of the row; never more than twice that in
-all), texts of at most SAMPLE_CHARS characters; the sample is the only thing collected. One more class, `und`, is learned
+all, the least hashes first), and of a text longer than SAMPLE_CHARS as many characters from a place that the hash gives; the
+sample is the only thing collected. At most LANGUAGES labels are learned, the commonest. One more class, `und`, is learned
 from SAMPLE bags of buckets drawn at random, which is what the subwords of an unrelated language look like; so a text can
 be far from all languages even where there is one. A tenth of the sample is held back to set the softmax temperature and the
 threshold below which a prediction is rejected: the confidence that all but REJECTED of the right predictions reach (the
@@ -30,6 +31,7 @@ BUCKETS = 1 << 15
 DIM = 16
 SAMPLE = 400
 SAMPLE_CHARS = 8000
+LANGUAGES = 1000
 EPOCHS = 4
 #: A smaller sample is passed over more often, so that what is learned of it does not depend on its size.
 STEPS = 6000
@@ -147,16 +149,19 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
     return model
 
 
-def sample(docs: DataFrame, per_language: int = SAMPLE, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    rows = docs.where(~held_out(4, 2) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars))
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1000).collect()}
+def sample(docs: DataFrame, per_language: int = SAMPLE, chars: int = SAMPLE_CHARS, languages: int = LANGUAGES) -> list[tuple[str, str]]:
+    """(text, label) pairs to learn from; the same ones whatever the order in which tasks end."""
+    rows = docs.where(~held_out(4, 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
     if not counts:
         return []
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
     wanted = F.lit(False)
     for lang, n in counts.items():
         wanted = wanted | ((F.col("lang") == lang) & (draw < int(min(1.0, per_language / n) * (1 << 30))))
-    got = rows.where(wanted).select("text", "lang").limit(2 * per_language * len(counts)).collect()
+    start = F.pmod(draw, F.greatest(F.length("text") - chars + 1, F.lit(1)).cast("long")).cast("int") + 1
+    part = F.substring(F.col("text"), start, F.lit(chars)).alias("text")
+    got = rows.where(wanted).select(draw.alias("draw"), part, "lang").orderBy("draw", "lang", "text").limit(2 * per_language * len(counts)).collect()
     return sorted((r.text, r.lang) for r in got)
 
 
@@ -195,13 +200,12 @@ def keep_known(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """docs without those whose language is rejected."""
     import pyarrow as pa
 
-    from .common import small_batches
+    from .common import sliced
 
     model = model or train(docs)
-    small_batches(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             for a, z in _slices(batch):
                 part = batch.slice(a, z - a)
                 lang, score = model.predict(part.column("text").to_pylist())

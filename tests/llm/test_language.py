@@ -1,3 +1,4 @@
+import random
 import numpy as np
 
 from tarn.llm import language
@@ -57,3 +58,34 @@ def test_other_languages_are_rejected_whatever_the_number_of_rows_or_languages(s
         model = language.fit([(t, lang) for lang in known for t in of[lang][:n]])
         rejected = lambda lang: np.mean([s < model.threshold for s in model.predict(of[lang][-60:])[1]])  # noqa: B023, E731
         assert rejected(other) > 0.5 and max(map(rejected, known)) < 0.05, (known, n)
+
+
+def test_a_language_of_long_texts_only(documents):
+    rng = random.Random(8)
+    say = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(n))
+    rows = [(i, say("abcdefg", 2500), "xa") for i in range(30)] + [(100 + i, say("rstuvwy", 60), "xb") for i in range(60)]
+    model = language.train(documents(rows))
+    assert model.languages == ["und", "xa", "xb"] or model.languages == ["xa", "xb", "und"]
+    assert model.predict([say("abcdefg", 40), say("rstuvwy", 40)])[0] == ["xa", "xb"]
+    assert all(len(t) <= language.SAMPLE_CHARS for t, _ in language.sample(documents(rows)))
+
+
+def test_the_sample_does_not_depend_on_partitions(spark, documents):
+    rows = [(i, f"text number {i} of many", "xa" if i % 3 else "xb") for i in range(3000)]
+    df = documents(rows)
+    assert language.sample(df, 50) == language.sample(df.repartition(7, "text"), 50) and 60 < len(language.sample(df, 50)) <= 200
+
+
+def test_the_threshold_keeps_right_predictions_and_scores_are_calibrated():
+    rng = random.Random(9)
+    say = lambda letters, n=30: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(n))
+    kinds = {"xa": "abcdefghij", "xb": "fghijklmno", "xc": "klmnopqrst"}
+    model = language.fit([(say(letters), lang) for lang, letters in kinds.items() for _ in range(200)])
+    fresh = [(say(letters), lang) for lang, letters in kinds.items() for _ in range(200)]
+    found, score = model.predict([t for t, _ in fresh])
+    right = [a == b for a, (_, b) in zip(found, fresh, strict=True)]
+    assert sum(right) > 0.97 * len(right)
+    assert sum(s < model.threshold for s, ok in zip(score, right, strict=True) if ok) <= 0.05 * len(right)
+    assert abs(sum(score) / len(score) - sum(right) / len(right)) < 0.1
+    _, unknown = model.predict([say("αβγδεζηθικ") for _ in range(100)])
+    assert sum(s < model.threshold for s in unknown) >= 90
