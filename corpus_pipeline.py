@@ -11,7 +11,6 @@ an empty table gives no rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tarn.llm import decontaminate, language, packing, simhash, suffix_dedup
 from tarn.llm.common import cut, table
