@@ -666,3 +666,21 @@ def register_plain_table(spark, sf_dir):
     for name in ("tarn_small", "tarn_log"):
         lake.schema.deregister_table(name)
     return out
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CASE WHEN o_totalprice > 100000 THEN o_orderpriority END AS o_orderpriority FROM orders")
+def insert_into(spark, sf_dir):
+    """Two appends to an empty partitioned table, the second of some columns, read through SQL."""
+    df = _source(spark, sf_dir, "orders")
+    b = fixtures.Builder(spark, fixtures.path_of(spark, sf_dir, "empty", fresh=True) + "-orders")
+    b.commit(*b.start(df.schema, ["o_orderstatus"]))
+    lake = LakehouseSession(spark)
+    df.createOrReplaceTempView("tarn_source")
+    lake.register_delta("tarn_target", b.root)
+    try:
+        lake.sql(f"INSERT INTO tarn_target SELECT {', '.join(df.columns)} FROM tarn_source WHERE o_totalprice > 100000")
+        some = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate"
+        lake.sql(f"INSERT INTO tarn_target ({some}) SELECT {some} FROM tarn_source WHERE NOT (o_totalprice > 100000)")
+        return lake.sql(f"SELECT {ORDERS} FROM tarn_target WHERE o_orderkey >= 0")
+    finally:
+        lake.schema.deregister_table("tarn_target")

@@ -12,10 +12,11 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import compat, sign_url
-from .operators import vacuum
+from .operators import insert, vacuum
 from .plans import predicate, scan, sqlext
 from .sources import catalog, log, snapshot
 from .sources.storage import Storage, normalised
@@ -130,6 +131,8 @@ class LakehouseSession:
             return self._drop(statement)
         if isinstance(statement, sqlext.CreateExternalTable):
             return self._external(statement)
+        if isinstance(statement, sqlext.Insert):
+            return self._insert(statement, **kwargs)
         if isinstance(statement, sqlext.Copy):
             df = self._host(statement.source)
             df.write.format(statement.format).options(**dict(statement.options)).mode("overwrite").save(statement.target)
@@ -184,6 +187,19 @@ class LakehouseSession:
         except AnalysisException:
             return False
 
+    def _insert(self, s: sqlext.Insert, **kwargs) -> DataFrame:
+        """Appends to a table that follows its log; others are Spark's. The number of rows, as the log has it."""
+        name = ".".join(s.name)
+        found = self.schema.snapshot(name)
+        if found is None:
+            return self._host(s.text, **kwargs)
+        rows = insert.fitted(found, self._host(s.source, **kwargs), s.columns)
+        after = insert.append(found, rows)
+        if after is found:
+            return self.spark.createDataFrame([(0,)], "count long")
+        added = after.files.join(found.files, "path", "left_anti")
+        return self.spark.createDataFrame([(added.agg(F.sum(F.get_json_object("stats", "$.numRecords").cast("long"))).first()[0],)], "count long")
+
     def _external(self, s: sqlext.CreateExternalTable) -> DataFrame:
         if not (s.if_not_exists and self.spark.catalog.tableExists(s.name)):
             options = dict(s.options)
