@@ -32,6 +32,8 @@ _CHUNK = 8192
 MEMO_FILES = 100_000
 #: Files of a version whose statistics a snapshot may keep as a local relation, on which Catalyst decides without a job.
 LOCAL_FILES = 4096
+#: Filters whose files such a snapshot remembers.
+FILTERS = 64
 _PHYSICAL, _ID = "delta.columnMapping.physicalName", "delta.columnMapping.id"
 
 
@@ -171,8 +173,13 @@ def chosen(snapshot: Snapshot, where: predicate.Expr | None = None) -> list[Data
     if where is None and memo.get("files") is not None:
         return memo["files"]
     if memo.get("skipping") is not None:
-        left = {r.path for r in live_files(snapshot, where, memo["skipping"]).select("path").collect()}
-        return [f for f in memo["files"] if memo["names"][f.path] in left]
+        asked = memo.setdefault("asked", {})
+        if repr(where) not in asked:
+            left = {r.path for r in live_files(snapshot, where, memo["skipping"]).select("path").collect()}
+            while len(asked) >= FILTERS:
+                del asked[next(iter(asked))]
+            asked[repr(where)] = [f for f in memo["files"] if memo["names"][f.path] in left]
+        return asked[repr(where)]
     mode = snapshot.metadata.mapping_mode
     names = [physical_name(snapshot.schema[c], mode) for c in snapshot.metadata.partition_columns]
     rows = live_files(snapshot, where).select("path", "size", "partitionValues", "deletionVector", "stats", F.get_json_object("stats", "$.numRecords").cast("long").alias("records")).collect()

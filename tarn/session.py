@@ -10,7 +10,6 @@ import json
 import re
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,8 +47,8 @@ class LakehouseSession:
         self._given: catalog.CatalogClient | None = None
         self._credentials: Callable[[str], dict] | None = None
         self._snapshots: dict[log.LogSegment, snapshot.Snapshot] = {}
-        #: Views that stay at a version, and their rows.
-        self._views: dict[str, tuple[snapshot.Snapshot, DataFrame]] = {}
+        #: Views that stay at a version, their rows, and which object of Spark's each is.
+        self._views: dict[str, tuple[snapshot.Snapshot, DataFrame, int]] = {}
         sign_url.register(spark)
 
     def _options(self, catalog_client=None, credentials: Callable[[str], dict] | None = None, signers=None, compatibility: bool = False) -> None:
@@ -111,9 +110,13 @@ class LakehouseSession:
     def register(self, name: str, url: str, version: int | None = None) -> DataFrame:
         """A view of one version, which stays that version. In statements given to sql, its filters also skip files."""
         found = self.snapshot(url, version)
-        df = scan.scan(found)
-        self._views[name] = (found, df)
+        if name in self._views and self._views[name][0] is found and self._is_ours(name):
+            return self._views[name][1]
+        return self._viewed(name, found, scan.scan(found))
+
+    def _viewed(self, name: str, found: snapshot.Snapshot, df: DataFrame) -> DataFrame:
         df.createOrReplaceTempView(name)
+        self._views[name] = (found, df, self._view_id(name))
         return df
 
     def register_delta(self, name: str, url: str) -> None:
@@ -152,8 +155,8 @@ class LakehouseSession:
                 else:
                     tables[name] = fresh
         lasting = {}
-        for name, (found, df) in self._views.items():
-            if name.lower() in words and self._is_ours(name, df):
+        for name, (found, df, _) in self._views.items():
+            if name.lower() in words and self._is_ours(name):
                 tables[name], lasting[name] = found, df
         if not tables:
             return self.spark.sql(text, **kwargs)
@@ -163,6 +166,7 @@ class LakehouseSession:
                 if name not in lasting:
                     scan.scan(found).createOrReplaceTempView(name)
             return self.spark.sql(text, **kwargs)
+        whole = set()
         try:
             # the plan over stand-ins tells the filters; the scans of the files that they leave take their place
             marks = {name: f"{name}-{i}" for i, name in enumerate(tables)}
@@ -170,22 +174,27 @@ class LakehouseSession:
                 scan.stub(found, marks[name]).createOrReplaceTempView(name)
             filters = predicate.filters_of(self.spark.sql(text, **kwargs))
             for name, found in tables.items():
-                where = filters.get(marks[name])
-                scan.scan(found, files=scan.chosen(found, where)).createOrReplaceTempView(name)
+                files = scan.chosen(found, filters.get(marks[name]))
+                if name in lasting and len(files) == len(scan.chosen(found)):
+                    self._viewed(name, found, lasting[name])
+                    whole.add(name)
+                else:
+                    scan.scan(found, files=files).createOrReplaceTempView(name)
             return self.spark.sql(text, **kwargs)
         finally:
-            for name in tables:
+            for name in tables.keys() - whole:
                 if name in lasting:
-                    lasting[name].createOrReplaceTempView(name)
+                    self._viewed(name, tables[name], lasting[name])
                 else:
                     self.spark.catalog.dropTempView(name)
 
-    def _is_ours(self, name: str, df: DataFrame) -> bool:
+    def _view_id(self, name: str) -> int | None:
+        view = self.spark._jsparkSession.sessionState().catalog().getRawTempView(name)
+        return self.spark._jvm.System.identityHashCode(view.get()) if view.isDefined() else None
+
+    def _is_ours(self, name: str) -> bool:
         """Whether the view of this name is still the one that register made."""
-        try:
-            return self.spark.table(name).sameSemantics(df)
-        except AnalysisException:
-            return False
+        return self._view_id(name) == self._views[name][2]
 
     def _insert(self, s: sqlext.Insert, **kwargs) -> DataFrame:
         """Appends to a table that follows its log; others are Spark's. The number of rows, as the log has it."""

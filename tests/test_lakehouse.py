@@ -230,6 +230,21 @@ def test_filters_of_statements_choose_files(lake, spark, sf_dir, oracle):
     oracle.same(spark.sql("SELECT o_orderkey FROM t_low"), "SELECT o_orderkey FROM orders WHERE o_orderkey < 10")
 
 
+def test_views_that_others_replace_are_theirs(lake, spark, sf_dir):
+    path = fixtures.path_of(spark, sf_dir, "sorted_orders")
+    first = lake.register("t_own", path)
+    assert lake.register("t_own", path) is first
+    assert lake.sql("SELECT count(*) AS n FROM t_own WHERE o_orderkey >= 0").first().n == first.count()
+    assert lake.sql("SELECT count(*) AS n FROM t_own WHERE o_orderkey < 10").first().n == 10 < first.count()
+    assert lake.register("t_own", path) is not None and spark.table("t_own").count() == first.count()
+    spark.range(3).createOrReplaceTempView("t_own")
+    assert lake.sql("SELECT count(*) AS n FROM t_own").first().n == 3
+    with pytest.raises(Exception, match="no_column"):
+        lake.sql("SELECT no_column FROM t_own")
+    assert spark.table("t_own").count() == 3
+    assert lake.register("t_own", path).count() == first.count()
+
+
 def test_filters_over_tables_that_follow_the_log(lake, spark, sf_dir, oracle):
     lake.schema.deregister_table("t_now")
     lake.register_delta("t_now", fixtures.path_of(spark, sf_dir, "sorted_orders"))
