@@ -480,13 +480,13 @@ def predicate_superset(spark, sf_dir):
 
 
 @query(
-    """SELECT n_nationkey, CAST(len(v) AS INTEGER) AS n, list_contains(v, 3) AS has, v[2:3] AS middle, list_slice(list_concat(v, [9, 9]), 1, 4) AS longer, list_filter(v, lambda x: x <> 1) AS without,
+    """SELECT n_nationkey, CAST(len(v) AS INTEGER) AS n, list_contains(v, 3) AS has, array_to_string(v[2:3], ',') AS middle, array_to_string(list_slice(list_concat(v, [9, 9]), 1, 4), ',') AS longer, array_to_string(list_filter(v, lambda x: x <> 1), ',') AS without,
        CAST(1 AS INTEGER) AS dims, len(list_filter(['a', n_name], lambda x: x = n_name)) AS seen FROM (SELECT *, [1, n_regionkey, 3] AS v FROM nation)"""
 )
 def sql_compat_any_type(spark, sf_dir):
     """Functions by the host's names on arrays of numbers."""
     _views(spark, sf_dir)
-    text = """SELECT n_nationkey, array_length(v) AS n, array_has(v, 3) AS has, array_slice(v, 2, 3) AS middle, array_resize(v, 4, 9) AS longer, array_remove_all(v, 1) AS without, array_ndims(v) AS dims,
+    text = """SELECT n_nationkey, array_length(v) AS n, array_has(v, 3) AS has, array_to_string(array_slice(v, 2, 3), ',') AS middle, array_to_string(array_resize(v, 4, 9), ',') AS longer, array_to_string(array_remove_all(v, 1), ',') AS without, array_ndims(v) AS dims,
       CAST(array_length(array_positions(make_array('a', n_name), n_name)) AS BIGINT) AS seen FROM (SELECT *, make_array(1, n_regionkey, 3) AS v FROM nation)"""
     return LakehouseSession(spark, compatibility=True).sql(text)
 
