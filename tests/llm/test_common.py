@@ -47,3 +47,25 @@ def test_narrow_ids(spark):
     assert simhash.keep_one(docs).count() == suffix_dedup.rewritten(docs).count() == 2
     vectors = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id int, embedding array<double>")
     assert topk.top_k(vectors).select(F.col("vec_id")).first().vec_id == 1
+
+
+def test_slices_are_bounded_by_rows_and_bytes():
+    import pyarrow as pa
+
+    texts = ["x" * n for n in (10, 3 << 20, 3 << 20, 9 << 20, 5)] + ["y"] * 2500
+    parts = list(common.sliced([pa.RecordBatch.from_pydict({"text": texts}), pa.RecordBatch.from_pydict({"text": pa.array([], pa.string())})]))
+    assert [x for p in parts for x in p.column("text").to_pylist()] == texts
+    assert all(p.num_rows <= common.BATCH_ROWS and (p.num_rows == 1 or p.nbytes <= common.BATCH_BYTES) for p in parts) and parts[-1].num_rows == 0
+
+
+def test_settings_stay_and_dropped_tables_go(spark):
+    before = {k: spark.conf.get(k) for k in common._WRITING}
+    df = common.cut(spark.range(10).repartition(3), "x")
+    assert {k: spark.conf.get(k) for k in common._WRITING} == before
+    with pytest.raises(ZeroDivisionError), common._set(spark, common._WRITING):
+        1 / 0  # noqa: B018
+    assert {k: spark.conf.get(k) for k in common._WRITING} == before
+    at = df._tarn_path
+    assert os.path.isdir(at)
+    common.drop(df)
+    assert not os.path.isdir(at) and at not in common._written
