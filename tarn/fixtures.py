@@ -7,6 +7,8 @@ import uuid
 from collections.abc import Callable
 from urllib.parse import quote
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,21 +82,35 @@ class Builder:
         self.version += 1
         return self.version - 1
 
-    def rows_where(self, action: dict, condition: str) -> list[int]:
+    def bits_where(self, action: dict, condition: str) -> dict[int, bytes]:
+        """The 65,536 bits of each chunk (row >> 16) of the file that holds rows of this condition. Executors set them, so that
+        a bit for each row of the file reaches the driver, where the vector is written, and no row numbers."""
         from .sources.storage import resolved
 
-        df = self.spark.read.parquet(glob_safe(resolved(self.root, action["add"]["path"])))
-        return sorted(r[0] for r in df.where(condition).select("_metadata.row_index").collect())
+        def set_bits(batches):
+            found = {}
+            for batch in batches:
+                for chunk, words in dv.chunks(batch.column(0).to_numpy(zero_copy_only=False)):
+                    found[chunk] = found[chunk] | words if chunk in found else words
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([x.tobytes() for x in found.values()], pa.binary())], names=["chunk", "bits"])
 
-    def with_vector(self, action: dict, rows: list[int], inline: bool, runs: bool = False) -> dict:
-        payload = dv.encode(rows, runs)
+        df = self.spark.read.parquet(glob_safe(resolved(self.root, action["add"]["path"])))
+        parts = df.where(condition).select("_metadata.row_index").mapInArrow(set_bits, "chunk long, bits binary")
+        out: dict[int, bytes] = {}
+        for chunk, bits in parts.toLocalIterator():
+            out[chunk] = (np.frombuffer(out[chunk], np.uint8) | np.frombuffer(bits, np.uint8)).tobytes() if chunk in out else bytes(bits)
+        return out
+
+    def with_vector(self, action: dict, bits: dict[int, bytes], inline: bool, runs: bool = False) -> dict:
+        payload = dv.encode_bits(bits, runs)
+        cardinality = sum(int.from_bytes(x, "little").bit_count() for x in bits.values())
         if inline:
-            vector = {"storageType": "i", "pathOrInlineDv": dv.z85_encode(payload), "sizeInBytes": len(payload), "cardinality": len(rows)}
+            vector = {"storageType": "i", "pathOrInlineDv": dv.z85_encode(payload), "sizeInBytes": len(payload), "cardinality": cardinality}
         else:
             name = uuid.uuid4()
             data, offsets = dv.file_of([payload])
             self.storage.write(f"{self.root}/deletion_vector_{name}.bin", data)
-            vector = {"storageType": "u", "pathOrInlineDv": dv.z85_encode(name.bytes), "offset": offsets[0], "sizeInBytes": len(payload), "cardinality": len(rows)}
+            vector = {"storageType": "u", "pathOrInlineDv": dv.z85_encode(name.bytes), "offset": offsets[0], "sizeInBytes": len(payload), "cardinality": cardinality}
         return {"add": action["add"] | {"deletionVector": vector}}
 
 
@@ -235,10 +251,10 @@ def _vectors(inline: bool) -> Callable[[Builder, str], None]:
         df = _source(b.spark, sf_dir, "lineitem")
         adds = [b.add(df.where(f"l_orderkey % 5 = {i}").sort("l_orderkey", "l_linenumber")) for i in range(5)]
         dead = ["l_orderkey % 7 = 0", "l_orderkey % 7 <> 1", "l_quantity >= 0 and l_orderkey % 2 = 0", "true"]
-        now = [b.with_vector(a, b.rows_where(a, c), inline and i != 1, runs=i == 2) for i, (a, c) in enumerate(zip(adds, dead, strict=False))]
-        first = b.with_vector(adds[4], b.rows_where(adds[4], "l_orderkey % 3 = 0"), inline)
+        now = [b.with_vector(a, b.bits_where(a, c), inline and i != 1, runs=i == 2) for i, (a, c) in enumerate(zip(adds, dead, strict=False))]
+        first = b.with_vector(adds[4], b.bits_where(adds[4], "l_orderkey % 3 = 0"), inline)
         b.commit(*b.start(df.schema, features=["deletionVectors"]), *now, first)
-        second = b.with_vector(adds[4], b.rows_where(adds[4], "l_orderkey % 3 < 2"), inline)
+        second = b.with_vector(adds[4], b.bits_where(adds[4], "l_orderkey % 3 < 2"), inline)
         b.commit(b.remove(first), second)
 
     return build
