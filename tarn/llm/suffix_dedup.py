@@ -19,10 +19,11 @@ share a whole string matter, so both orders are only built where two suffixes of
    backwards (suffix array of the dictionary's heads, likewise). The strings that start o bytes before their triggers are
    equal where neither array has a neighbour pair in between that shares too little: less than o bytes on the left, or
    less than the string's rest on the right;
-4. a group of more than GROUP distinct phrases is no task's work. Its strings are taken in bands of BAND neighbouring starts,
-   and bands are treated as phrases were: grouped by the bytes common to their strings, those of which another has the same
-   bytes as a whole are repeated, and of the others one of each kind is ordered. A group of more than GROUP kinds of one band
-   has its few strings counted by fingerprint.
+4. a group of more than GROUP distinct phrases is no task's work. Its strings are taken in bands of WIDE * BAND neighbouring
+   starts, and bands are treated as phrases were: grouped by the bytes common to their strings, those of which another has
+   the same bytes as a whole are repeated, and of the others one of each kind is ordered. Only a group of more than GROUP
+   kinds is taken in bands of BAND starts, one of each kind; and one that is still too large has its few strings counted by
+   fingerprint.
 Only triggers, one copy of the phrases of 3, and the strings of 4 are shuffled, never all positions. Groups, phrases and the
 strings of 4 are told apart by 64-bit polynomial hashes, the latter two within a group; strings in 3 by their bytes.
 
@@ -54,6 +55,8 @@ CHUNK = 1 << 20
 GROUP = 1024
 TOGETHER = 4096
 BAND = 8
+#: How many of them are taken together first.
+WIDE = 4
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_repeated long, kept string"
 #: Low bits of a gram's key that hold its place: more than any buffer needs, and as many for each, so that a string's
 #: trigger is the same in any buffer.
@@ -283,8 +286,9 @@ def _bands_of(r: dict, lengths, band: int):
                 yield which, j, a, z
 
 
-def banded(phrases: DataFrame, lengths: tuple[int, ...], band: int) -> DataFrame:
-    """k, phrase, which, band, core (of the bytes common to the band's strings), full (of all their bytes), run."""
+def banded(phrases: DataFrame, lengths: tuple[int, ...], band: int, wide: int | None = None) -> DataFrame:
+    """k, phrase, which, band, core (of the bytes common to the band's strings), full (of all their bytes), run. With wide, a
+    multiple of band, only of the parts of those bands of that width that `todo` names."""
     names = ("k", "phrase", "which", "band", "core", "full", "run")
 
     def run(batches):
@@ -292,8 +296,11 @@ def banded(phrases: DataFrame, lengths: tuple[int, ...], band: int) -> DataFrame
             rows = []
             for r in batch.to_pylist():
                 hasher = Hasher(np.frombuffer(r["bytes"], np.uint8))
-                found = np.array(list(_bands_of(r, lengths, band)), np.int64).reshape(-1, 4)
-                which, j, a, z = found.T
+                found = list(_bands_of(r, lengths, band))
+                if wide:
+                    asked = {(t["which"], t["band"]) for t in r["todo"]}
+                    found = [x for x in found if (x[0], x[1] * band // wide) in asked]
+                which, j, a, z = np.array(found, np.int64).reshape(-1, 4).T
                 at, size = r["ahead"], np.array(lengths)[which]
                 mark = _mix((j << 8 | which).astype(np.uint64))
                 core = _mix(hasher(at - j * band, at + size - (j * band + band - 1)) ^ mark)
@@ -437,19 +444,28 @@ def _of_bands(crowded: DataFrame, lengths: tuple[int, ...], band: int, group: in
     """The runs of repeated strings of phrases of groups of any size."""
     # the phrase's number is stored with it
     crowded = cut(crowded.withColumn("phrase", F.monotonically_increasing_id()), "crowded")
-    bands = cut(banded(crowded, lengths, band), "bands")
-    kinds = cut(bands.groupBy("k", "core", "full").agg(F.count(F.lit(1)).alias("n"), F.min("phrase").alias("one")), "kinds")
-    # of the groups, those of one band alone go; the number of kinds tells who orders the others
-    cores = kinds.groupBy("k", "core").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).where(F.col("all") > 1).select("k", "core", "kinds")
-    kinds = _dealt(kinds, cores, "k", "core")
-    met = cut(_dealt(bands, kinds, "k", "core", "full").where((F.col("n") > 1) | (F.col("kinds") > 1)).select("phrase", "which", "band", "core", "run", "n", "kinds", (F.col("phrase") == F.col("one")).alias("take")), "met")
-    todo = met.where("take and kinds > 1").select("phrase", (F.col("kinds") > group).alias("many"), F.struct("which", "band", "core", (F.col("n") == 1).alias("single")).alias("t"))
-    asked = lambda many: crowded.join(todo.where("many" if many else "not many").groupBy("phrase").agg(F.collect_list("t").alias("todo")), "phrase")
-    each = cut(printed(asked(True), lengths, band), "strings")
+    parts, rows, wide = [], crowded, None
+    for width in (WIDE * band, band) if WIDE * band < min(lengths) else (band,):
+        bands = cut(banded(rows, lengths, width, wide), "bands")
+        kinds = cut(bands.groupBy("k", "core", "full").agg(F.count(F.lit(1)).alias("n"), F.min("phrase").alias("one")), "kinds")
+        # of the groups, those of one band alone go; the number of kinds tells who orders the others
+        cores = kinds.groupBy("k", "core").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).where(F.col("all") > 1).select("k", "core", "kinds")
+        met = cut(_dealt(bands, _dealt(kinds, cores, "k", "core"), "k", "core", "full").where((F.col("n") > 1) | (F.col("kinds") > 1)).select("phrase", "which", "band", "core", "run", "n", "kinds", (F.col("phrase") == F.col("one")).alias("take")), "met")
+        drop(bands, kinds)
+        todo = met.where("take and kinds > 1").select("phrase", (F.col("kinds") > group).alias("many"), F.struct("which", "band", "core", (F.col("n") == 1).alias("single")).alias("t"))
+        few, many = (crowded.join(todo.where(x).groupBy("phrase").agg(F.collect_list("t").alias("todo")), "phrase") for x in ("not many", "many"))
+        parts += [_at(crowded, met.where("n > 1").select("phrase", "run")), ordered(band_bytes(few, lengths, width), lengths)]
+        rows, wide = cut(many, "many"), width
+        if not rows.head(1):
+            return parts
+    each = cut(printed(rows, lengths, width), "strings")
     twice = each.groupBy("group", "w").count().where("count > 1").select("group", "w")
-    found = met.where("n > 1").select("phrase", "run").unionByName(_dealt(each, twice, "group", "w").select("phrase", "run"))
-    found = crowded.select("phrase", "doc_id", "text_hash").join(found, "phrase").select("doc_id", "text_hash", "run")
-    return [found, ordered(band_bytes(asked(False), lengths, band), lengths)]
+    return [*parts, _at(crowded, _dealt(each, twice, "group", "w").select("phrase", "run"))]
+
+
+def _at(phrases: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, text_hash, run of (phrase, run)."""
+    return phrases.select("phrase", "doc_id", "text_hash").join(found, "phrase").select("doc_id", "text_hash", "run")
 
 
 def _dealt(rows: DataFrame, sums: DataFrame, *key: str) -> DataFrame:

@@ -84,6 +84,25 @@ def test_hot_passage_between_different_neighbours(documents):
     assert all(k[2] >= len(passage) for k in got)
 
 
+def test_bands_of_a_crowd_are_few(documents, monkeypatch):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(90))
+    docs = [(i, " ".join(word() for _ in range(40)) + passage + " ".join(word() for _ in range(40))) for i in range(60)]
+    made, crowds = [], []
+    banded = sd.banded
+
+    def counted(phrases, *rest):
+        out = banded(phrases, *rest)
+        crowds.append(phrases.count())
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(sd, "banded", counted)
+    assert run(documents(docs), group=8) == want(docs, sd.LENGTH)
+    assert crowds[0] > 60 and sum(made) <= 9 * crowds[0]
+
+
 def test_rewritten_keeps_columns_and_rows(documents, clashing):
     p = "".join(random.Random(2).choice("abcdefgh ") for _ in range(600))
     df = clashing(documents([(1, "one " + p), (2, p + " two"), (3, "three"), (4, None)]))
