@@ -1,18 +1,20 @@
 """Main text of web pages: structure, then nearest-URL page differencing.
 
 1. A page becomes lines: the text of its blocks, each marked as inside the main container (article or main element) or
-   not. Elements that never hold main text go: by name (DROP) or by a word of their class, id or role (JUNK).
-2. Pages of a host are ordered by the path of their URL (then query, the page's id and the row). A page is paired with the
+   not, and inside it with its box, the outermost block in its container that has a class, id or role. Elements that never
+   hold main text go: by name (DROP) or by a word of their class, id or role (JUNK).
+2. Pages of a host are ordered by the path of their URL (then query, the page's id and the row). Each page is paired with the
    nearest page before or after it that has other lines (copies tell nothing), namely the one whose path shares more leading
-   characters, the earlier one of equals. Lines of the two are aligned by their longest common subsequence, and shared lines
-   are deleted: what two pages of a site have in common is its frame.
-3. In a page with a main container, lines outside it are dropped, and a shared line inside it stays: republished or
-   near-duplicate articles share theirs, and an article is what is asked for. Where no container is marked, differencing
-   decides; a page of whose lines nothing would be left keeps them all, being a copy of its neighbour.
+   characters, the earlier one of equals. Lines of the two are aligned by their longest common subsequence; what two pages of
+   a site share is its frame.
+3. In a page without a main container shared lines are deleted; one of whose lines nothing would be left keeps them all, being
+   a copy of its neighbour. In a page with one, lines outside it go, and inside it boxes of which every line is shared. Single
+   shared lines of the article itself stay, and so does all of an article of which half is in such boxes, or half of the rest is
+   shared, as it is republished.
 
 Pages are dealt out by ranges of (host, path, query, page_id, row), so a host of any size, or a page repeated any number
-of times, is split over tasks. The page before and the one after each range are added to it as context; which they are is
-decided on hashes of lines, four a range.
+of times, is split over tasks. What travels there is 64-bit hashes of lines; which lines go comes back. The page before and
+the one after each range are added to it as context; which they are is decided on hashes of all lines, four a range.
 
 Inside a block, runs of white space are one space; character references are decoded; blocks are joined by one newline.
 
@@ -45,6 +47,8 @@ JUNK = frozenset(
     "side aside header masthead topbar footer foot bottombar copyright comment comments commentlist disqus respond reply replies cookie cookies consent gdpr notice notices notification alert popup modal overlay "
     "newsletter subscribe subscription signup login share sharing social related recommended recommendations widget widgets pagination pager toolbar complementary contentinfo search searchbox skip".split()
 )
+#: Bytes of the lists of lines that go that may be broadcast.
+BROADCAST_BYTES = 16 << 20
 KEEP_CONTAINERS = frozenset(("html", "body", "article", "main"))
 # a comment, a tag, a tag whose quotes do not close, a declaration
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>|<[!?][^>]*>""", re.S)
@@ -70,41 +74,42 @@ def is_junk(name: str, attributes: str) -> bool:
 _HAS_MAIN = re.compile(r"<(?:article|main)\b", re.I)
 
 
-def lines(page: str | None) -> list[tuple[str, bool]]:
-    """(text, inside the main container) of each block with text, in page order."""
+def lines(page: str | None) -> list[tuple[str, bool, int]]:
+    """(text, inside the main container, box or 0) of each block with text, in page order."""
     page = page or ""
     found = _lines_of(page, True)
-    if not any(main for _, main in found) and _HAS_MAIN.search(page):
+    if not any(main for _, main, _ in found) and _HAS_MAIN.search(page):
         # what wraps the container has a word of JUNK too, such as "has-sidebar": outside, only names count
         again = _lines_of(page, False)
-        if any(main for _, main in again):
+        if any(main for _, main, _ in again):
             return again
     return found
 
 
-def _lines_of(page: str, marks_outside: bool) -> list[tuple[str, bool]]:
-    out: list[tuple[str, bool]] = []
+def _lines_of(page: str, marks_outside: bool) -> list[tuple[str, bool, int]]:
+    out: list[tuple[str, bool, int]] = []
     words: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, drops, is main
+    stack: list[tuple[str, bool, bool, int]] = []  # name, drops, is main, the box around it
     opened: Counter = Counter()  # names on the stack
-    dropping = mains = at = 0
+    dropping = mains = at = box = boxes = 0
     n = len(page)
 
     def flush():
         if words:
             if text := " ".join(references.unescape("".join(words)).split()):
-                out.append((text, mains > 0))
+                out.append((text, mains > 0, box))
             words.clear()
 
     def pop_to(depth: int):
-        nonlocal dropping, mains
+        nonlocal dropping, mains, box
         while len(stack) > depth:
-            name, drops, main = stack.pop()
+            name, drops, main, around = stack.pop()
             opened[name] -= 1
             if name not in INLINE and not dropping:
                 flush()
             dropping -= drops
             mains -= main
+            box = around
 
     while at < n:
         m = _TOKEN.search(page, at)
@@ -151,7 +156,12 @@ def _lines_of(page: str, marks_outside: bool) -> list[tuple[str, bool]]:
         main = name in MAIN or _ROLE_MAIN.search(attributes) is not None
         if drops and not dropping:
             flush()
-        stack.append((name, drops, main and not dropping))
+        stack.append((name, drops, main and not dropping, box))
+        if main:
+            box = 0
+        elif block and mains and not box and not drops and any(m[1].lower() in ("class", "id", "role") for m in _MARKS.finditer(attributes)):
+            boxes += 1
+            box = boxes
         opened[name] += 1
         dropping += drops
         mains += main and not (dropping and drops) and stack[-1][2]
@@ -206,16 +216,26 @@ def _matched(a: list[str], b: list[str]) -> list[int]:
     return out
 
 
-def main_text(page: list[tuple[str, bool]], neighbour: list[tuple[str, bool]] | None) -> str:
-    inside = [t for t, main in page if main]
-    if inside:
-        return "\n".join(inside)
-    own = [t for t, _ in page]
-    if neighbour:
-        shared = common(own, [t for t, _ in neighbour])
-        if len(shared) < len(own):
-            own = [t for i, t in enumerate(own) if i not in shared]
-    return "\n".join(own)
+def frame(page: list[tuple], neighbour: list[tuple]) -> list[int]:
+    """Places of a page's lines, (text or its hash, main, box), that are frame by its neighbour, besides those outside the main container."""
+    shared = common([x for x, _, _ in page], [x for x, _, _ in neighbour])
+    inside = [i for i, (_, main, _) in enumerate(page) if main]
+    if not inside:
+        return sorted(shared) if len(shared) < len(page) else []
+    own = {page[i][2] for i in inside if i not in shared} | {0}
+    gone = [i for i in inside if page[i][2] not in own]
+    rest = [i in shared for i in inside if page[i][2] in own]
+    return gone if 2 * len(gone) < len(inside) and 2 * sum(rest) < len(rest) else []
+
+
+def _text(page: list[tuple[str, bool, int]], gone) -> str:
+    """What is left of a page without its frame."""
+    inside = any(main for _, main, _ in page)
+    return "\n".join(t for i, (t, main, _) in enumerate(page) if (main or not inside) and i not in gone)
+
+
+def main_text(page: list[tuple[str, bool, int]], neighbour: list[tuple[str, bool, int]] | None) -> str:
+    return _text(page, frame(page, neighbour) if neighbour else ())
 
 
 def address(url: str | None) -> tuple[str, str, str] | None:
@@ -249,36 +269,41 @@ def extract(pages: DataFrame) -> DataFrame:
             places = [address(u) for u in urls]
             yield {
                 "page_id": ids, "url": urls, "host": [p[0] if p else None for p in places], "path": [p[1] if p else None for p in places], "query": [p[2] if p else None for p in places],
-                "lines": [[{"text": t, "main": m} for t, m in f] for f in found],
+                "lines": [[{"text": t, "main": m, "box": b} for t, m, b in f] for f in found],
             }
 
-    schema = "page_id long, url string, host string, path string, query string, lines array<struct<text: string, main: boolean>>"
+    schema = "page_id long, url string, host string, path string, query string, lines array<struct<text: string, main: boolean, box: int>>"
     # the number tells equal rows apart and is stored with them
     parsed = cut(arrow_map(pages.select(F.col("page_id").cast("long"), "url", "html"), parse, schema).withColumn("row", F.monotonically_increasing_id()), "pages")
-    # only pages without a marked container need a neighbour, but any page may be one: their lines travel without the main text
-    alone = parsed.where(F.exists("lines", lambda x: x["main"]) | F.col("host").isNull())
-    compared = parsed.where(~F.exists("lines", lambda x: x["main"]) & F.col("host").isNotNull())
-    out = arrow_map(alone.select("page_id", "url", "lines"), _plain, "page_id long, url string, text string")
-    if compared.head(1):
-        out = out.unionByName(_differenced(parsed.where("host is not null")))
-    return out.withColumn("n_chars", F.length("text").cast("long"))
-
+    gone = cut(_differenced(parsed), "frames")
+    kept = parsed.select("page_id", "url", "lines", "row")
+    few = gone.agg(F.sum(F.size("gone") + 8).alias("n")).first().n
+    if few is None:
+        kept = kept.withColumn("gone", F.lit(None).cast("array<int>"))
+    else:
+        # texts are not dealt out for lists that fit a broadcast
+        kept = kept.join(F.broadcast(gone) if 4 * few <= BROADCAST_BYTES else gone, "row", "left")
+
+    def write(batches):
+        for batch in batches:
+            texts = [_text(x, frozenset(g or ())) for x, g in zip(_lines(batch.column("lines")), batch.column("gone").to_pylist(), strict=True)]
+            yield {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": texts}
 
-def _lines(column) -> list[list[tuple[str, bool]]]:
-    return [[(x["text"], x["main"]) for x in row] for row in column.to_pylist()]
+    return arrow_map(kept, write, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
 
 
-def _plain(batches):
-    for batch in batches:
-        yield {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": [main_text(x, None) for x in _lines(batch.column("lines"))]}
+def _lines(column) -> list[list[tuple]]:
+    return [[tuple(x.values()) for x in row] for row in column.to_pylist()]
 
 
 def _differenced(parsed: DataFrame) -> DataFrame:
-    """Pages of parsed without a container, each without what it shares with its neighbour."""
+    """(row, gone): the places of the lines that each page with a host shares with its neighbour and that are frame, if any."""
     spark = parsed.sparkSession
     key = ["host", "path", "query", "page_id", "row"]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut(parsed.withColumn("sum", F.xxhash64("lines")).repartitionByRange(n, *key).withColumn("range", F.spark_partition_id()), "ranges")
+    hashed = F.transform("lines", lambda x: F.struct(F.xxhash64(x["text"]).alias("hash"), x["main"].alias("main"), x["box"].alias("box")))
+    hashed = parsed.where("host is not null").select(*key, hashed.alias("lines"))
+    ranged = cut(hashed.withColumn("sum", F.xxhash64("lines")).repartitionByRange(n, *key).withColumn("range", F.spark_partition_id()), "ranges")
     context = _context(ranged, key)
     rows = ranged.withColumn("context", F.lit(False))
     if context:
@@ -290,33 +315,34 @@ def _differenced(parsed: DataFrame) -> DataFrame:
         # of pages with the same lines, which lie together or not, the lines are held once; before: the last other page
         before = now = None
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("range", "host", "path", "page_id", "url", "sum", "context"))
-            for rng, host, path, page_id, url, total, context, page in zip(*columns, _lines(batch.column("lines")), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("range", "host", "path", "row", "sum", "context"))
+            for rng, host, path, row, total, context, page in zip(*columns, _lines(batch.column("lines")), strict=True):
                 if now is None or (rng, host, total) != (now["range"], now["host"], now["sum"]):
                     new = {"range": rng, "host": host, "path": path, "sum": total, "lines": page, "asked": []}
                     if now is not None:
                         yield from told(before, now, new)
                     before, now = now, new
                 now["path"] = path
-                if not context and not any(main for _, main in page):
-                    now["asked"].append((page_id, url, path))
+                if not context:
+                    now["asked"].append((row, path))
         if now is not None:
             yield from told(before, now, None)
 
     def told(before, now, after):
         near = [x for x in (before, after) if x and (x["range"], x["host"]) == (now["range"], now["host"])]
-        out = {"page_id": [], "url": [], "text": []}
-        texts = {}
-        for page_id, url, path in now["asked"]:
-            best = max(near, key=lambda x: _nearness(path, x["path"]), default=None)
-            if id(best) not in texts:
-                texts[id(best)] = main_text(now["lines"], best["lines"] if best else None)
-            for c, v in zip(out, (page_id, url, texts[id(best)]), strict=True):
-                out[c].append(v)
-        if out["page_id"]:
+        out = {"row": [], "gone": []}
+        places = {}
+        for row, path in now["asked"] if near else ():
+            best = max(near, key=lambda x: _nearness(path, x["path"]))
+            if id(best) not in places:
+                places[id(best)] = frame(now["lines"], best["lines"])
+            if places[id(best)]:
+                out["row"].append(row)
+                out["gone"].append(places[id(best)])
+        if out["row"]:
             yield out
 
-    return arrow_map(rows.repartitionByRange(n, "range").sortWithinPartitions("range", *key), run, "page_id long, url string, text string")
+    return arrow_map(rows.repartitionByRange(n, "range").sortWithinPartitions("range", *key), run, "row long, gone array<int>")
 
 
 def _context(ranged: DataFrame, key) -> list[tuple[int, int, int]]:

@@ -84,6 +84,20 @@ def test_pages_without_a_container_lose_what_neighbours_share(spark):
     assert (got[101], got[102], got[103], got[104]) == (whole.format("x"), whole.format("y"), whole.format("z"), whole.format("z"))
 
 
+def test_boxes_that_neighbours_share_go_from_articles_too(spark):
+    page = "<main><div class='wrap'><article><h1>Title {0}</h1><div class='x9'><p>Read our terms</p><p>Ask us</p></div><p>body {0}</p><p>said before</p><div id='part'><p>said before</p><p>own {0}</p></div><p>end {0}</p></article></div></main>"
+    rows = [(i, f"http://h.example/{i:02d}", page.format(i)) for i in range(30)]
+    # a republished article stays whole, and its neighbours take nothing from each other
+    again = "<article><div id='a'><p>one</p><p>two</p></div><p>three</p><p>four</p><p>note {0}</p></article>"
+    rows += [(50 + i, f"http://again.example/{i}", again.format(i)) for i in range(4)]
+    got = {r.page_id: r.text for r in h.extract(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert len(got) == len(rows)
+    for i in range(30):
+        assert got[i] == f"Title {i}\nbody {i}\nsaid before\nsaid before\nown {i}\nend {i}"
+    for i in range(4):
+        assert got[50 + i] == f"one\ntwo\nthree\nfour\nnote {i}"
+
+
 def test_edges(spark, clashing):
     rows = [(1, "http://a/b", None), (2, None, None), (None, "http://a/c", "<article><p>q</p></article>"), (3, "::no url", "<p>r</p>"), (3, "::no url", "<p>r</p>"), (4, "http://a/x", "<article>" + "<p>long text</p>" * 20_000 + "</article>")]
     df = clashing(spark.createDataFrame(rows, SCHEMA))
