@@ -25,8 +25,12 @@ import copy
 import math
 import pickle
 from collections import Counter
+from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
+import xxhash
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +48,9 @@ DIVERGENCE = 0.01
 KAPPA = 4.0
 #: No word holds a space.
 END = b" "
+#: Places of rarer contexts that a task learns from at once, and passes over the texts in which these are dealt.
+AT_ONCE = 1_000_000
+ROUNDS = 2
 #: Distinct tokens, or codes of followers, that a task gathers before it hands them on.
 FLUSH = 500_000
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -97,14 +104,14 @@ class Tree:
         out.ids, out.known = {}, {}
         return out
 
-    def before(self, ids: np.ndarray, starts: np.ndarray, depth: int) -> list[np.ndarray]:
+    def before(self, ids: np.ndarray, starts: np.ndarray, depth: int, end: int | None = None) -> list[np.ndarray]:
         """The token before each place, the one before that, and so on; a text begins after ends."""
-        end = self.end
+        end = self.end if end is None else end
         sizes = np.diff(np.append(starts, len(ids)))
         place = np.arange(len(ids)) - np.repeat(starts, sizes)
         out = []
         for d in range(1, depth + 1):
-            token = np.full(len(ids), end, np.int64)
+            token = np.full(len(ids), end, ids.dtype)
             token[d:] = ids[: len(ids) - d] if d < len(ids) else token[d:]
             out.append(np.where(place >= d, token, end))
         return out
@@ -180,10 +187,10 @@ class Tree:
         self.ratio = np.concatenate((self.ratio, (p_other / self.other)[keep]))
         self.in_h = np.concatenate((self.in_h, (1 - p_other)[keep]))
         mine = keep[which] if len(which) else np.zeros(0, bool)
-        codes = np.concatenate((self.entry_codes, state[which][mine] * (self.size + 1) + token[mine]))
-        probs = np.concatenate((self.entry_p, entry[mine]))
+        codes, probs = state[which][mine] * (self.size + 1) + token[mine], entry[mine]
+        # states are numbered upwards, so new codes come after those that are there
         order = np.argsort(codes)
-        self.entry_codes, self.entry_p = codes[order], probs[order]
+        self.entry_codes, self.entry_p = np.concatenate((self.entry_codes, codes[order])), np.concatenate((self.entry_p, probs[order]))
         return state
 
 
@@ -192,11 +199,17 @@ def _shared(df: DataFrame, tree: Tree):
     return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(tree))
 
 
-CODED = "doc_id long, held_out boolean, ids array<int>, known long, known_sum double, rest array<struct<token: binary, n: int>>"
+def _hash(token: bytes) -> int:
+    """A signed 64-bit hash, below zero, which no number of a token of H is."""
+    return -1 - (xxhash.xxh64_intdigest(token) >> 1)
+
+
+CODED = "doc_id long, held_out boolean, ids array<int>, far array<long>, known long, known_sum double, rest array<struct<token: binary, n: int>>"
 
 
 def coded(docs: DataFrame, tree: Tree) -> DataFrame:
-    """Stored: each text as ids of its tokens (the size of H for others), what is known of those others, and counts of the rest."""
+    """Stored: each text as ids of its tokens (the size of H for others), hashes of those others in their order, what is known of
+    them, and counts of the rest."""
     shared = _shared(docs, tree)
 
     def run(batches):
@@ -204,20 +217,21 @@ def coded(docs: DataFrame, tree: Tree) -> DataFrame:
         get, other, known = model.ids.get, model.size, model.known.get
         end = [] if model.end < model.size else [(END, 1)]
         for batch in batches:
-            out = {c: [] for c in ("ids", "known", "known_sum", "rest")}
+            out = {c: [] for c in ("ids", "far", "known", "known_sum", "rest")}
             for text in batch.column("text").to_pylist():
                 w = words(text)
                 ids = [get(x, other) for x in w]
-                found, total, rest = 0, 0.0, Counter()
+                found, total, rest, far = 0, 0.0, Counter(), []
                 for x, i in zip(w, ids, strict=True):
                     if i == other:
+                        far.append(_hash(x))
                         p = known(x)
                         if p is None:
                             rest[x] += 1
                         else:
                             found, total = found + 1, total + p
                 ids.append(model.end)
-                for c, v in zip(out, (ids, found, total, [{"token": t, "n": n} for t, n in (*rest.items(), *end)]), strict=True):
+                for c, v in zip(out, (ids, far, found, total, [{"token": t, "n": n} for t, n in (*rest.items(), *end)]), strict=True):
                     out[c].append(v)
             yield {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out")} | out
 
@@ -331,12 +345,174 @@ def train(
     return tree, tokens
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Spreads 64 bits (the end of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+#: What is dealt of a place: a hash of its shortest context that is no candidate of the tree, the two tokens before that, the
+#: state of the tree, the token, the row, and whether it is a training place.
+_PLACE = (np.uint64, np.uint32, np.uint32, np.int32, np.int32, np.int64, np.bool_)
+#: No token stands there, or none that makes a longer context.
+_NO = 0x7FFFFFFF
+
+
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Columns byte by byte, which squeeze better so."""
+    raw = b"".join(np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T).tobytes() for x in columns)
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _unpacked(blob: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    sizes = [np.dtype(t).itemsize for t in _PLACE]
+    n, at, out = len(raw) // sum(sizes), 0, []
+    for t, size in zip(_PLACE, sizes, strict=True):
+        out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(t).ravel())
+        at += n * size
+    return out
+
+
+def _open_places(model: Tree, batch, depth: int) -> list[np.ndarray]:
+    """The columns of _PLACE for those places of a batch that have a context of at most depth tokens beyond the tree's."""
+    ids, starts = _sequence(batch)
+    sizes = np.diff(np.append(starts, len(ids)))
+    # tokens as they are told apart: numbers of H, hashes of others
+    end = model.end if model.end < model.size else _hash(END)
+    exact = ids.copy()
+    exact[starts + sizes - 1] = end
+    others = ids == model.size
+    others[starts + sizes - 1] = False
+    exact[others] = batch.column("far").flatten().to_numpy(zero_copy_only=False)
+    before, token = model.before(ids, starts, depth), model.before(exact, starts, depth, end)
+    # how many tokens the longest candidate has, and a hash of one more
+    found, number = np.zeros(len(ids), np.int64), np.where(before[0] < model.size, before[0], -1)
+    h = np.zeros(len(ids), np.uint64)
+    key, more = np.zeros(len(ids), np.uint64), [np.full(len(ids), _NO, np.uint32) for _ in range(2)]
+    usable = np.zeros(len(ids), bool)
+    for d in range(depth):
+        if d:
+            number = model._deeper(number, before[d], d) if d <= len(model.codes) else np.full(len(ids), -1)
+        h = _mix(h + _mix(token[d].view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
+        # what stands before a text's beginning makes no longer context
+        real = token[d - 1] != end if d else np.ones(len(ids), bool)
+        first = (found == d) & (number < 0)
+        key[first], usable[first] = h[first], real[first]
+        short = np.where(token[d] >= 0, token[d], (token[d] & 0x7FFFFFFF) | 0x80000000).astype(np.uint32)
+        for later in (1, 2):
+            # the chain broke later places before
+            on = (found == d - later) & (number < 0) & real
+            more[later - 1][on] = short[on]
+        found += number >= 0
+    places = np.flatnonzero(usable)
+    text = np.repeat(np.arange(len(starts)), sizes)[places]
+    row = batch.column("row").to_numpy(zero_copy_only=False)[text]
+    train = ~batch.column("held_out").to_numpy(zero_copy_only=False)[text]
+    return [c.astype(t, copy=False) for c, t in zip((key[places], more[0][places], more[1][places], model.state_of(before)[places], ids[places], row, train), _PLACE, strict=True)]
+
+
+def _learned(model: Tree, places: list[np.ndarray], least: int, divergence: float, kappa: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, how much log10 p changes) of places whose state is one of the contexts that these places, all of theirs, give."""
+    key, second, third, state, token, row, train = places
+    _, group = np.unique(key, return_inverse=True)
+    at = np.arange(len(key))
+    before = state.astype(np.int64)
+    now, token = before.copy(), token.astype(np.int64)
+    for following in (second, third, None):
+        # contexts that occur often enough, by number
+        n = np.bincount(group[train[at]])
+        keep = np.append(n, np.zeros(max(0, group.max(initial=-1) + 1 - len(n)), np.int64)) >= least
+        at, group = at[keep[group]], (np.cumsum(keep) - 1)[group[keep[group]]]
+        if not len(at):
+            break
+        first = np.empty(int(keep.sum()), np.int64)
+        first[group] = np.arange(len(group))
+        learn = train[at]
+        g, w = group[learn], token[at[learn]]
+        code, c = np.unique(g[w < model.size] * (model.size + 1) + w[w < model.size], return_counts=True)
+        code, c = code[c >= 2], c[c >= 2]
+        entries = (code // (model.size + 1), code % (model.size + 1), c.astype(float))
+        states = model.add(np.arange(len(first)), now[at[first]], np.bincount(g).astype(float), np.bincount(g, weights=w == model.size), entries, divergence, kappa)
+        now[at] = np.where(states[group] >= 0, states[group], now[at])
+        if following is None:
+            break
+        longer = following[at] != _NO
+        at, group = at[longer], group[longer]
+        _, group = np.unique(group.astype(np.uint64) << np.uint64(32) | following[at], return_inverse=True)
+    new = np.flatnonzero(now != before)
+    a, z, token = before[new], now[new], token[new]
+    in_h = token < model.size
+    out = np.log10(model.ratio[z]) - np.log10(np.where(a >= 0, model.ratio[a], 1.0))
+    out[in_h] = np.log10(model.p(z[in_h], token[in_h])) - np.log10(model.p(a[in_h], token[in_h]))
+    return row[new], out
+
+
+def rarer(rows: DataFrame, tree: Tree, least: int = LEAST, divergence: float = DIVERGENCE, kappa: float = KAPPA, depth: int = DEPTH, at_once: int = AT_ONCE, rounds: int = ROUNDS) -> list[DataFrame]:
+    """Stored (row, delta): what the contexts that occur least times, but not often enough for the tree, add to the scores."""
+    if not tree.size or tree.often <= least:
+        return []
+    spark = rows.sparkSession
+    shared = _shared(rows, tree.without_words())
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(1.2 * tree.total / rounds / at_once))
+    # a number for each partition that Spark deals there
+    place = F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("p")
+    numbers = np.arange(parts)
+    for p, n in spark.range(16 * parts).select(place, "id").groupBy("p").agg(F.min("id")).collect():
+        numbers[p] = n
+
+    def deal(turn):
+        def run(batches):
+            model = pickle.loads(shared.value)
+            held, size = [], 0
+
+            def out():
+                columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+                held.clear()
+                part = (columns[0] // np.uint64(rounds) % np.uint64(parts)).astype(np.uint32)
+                order = np.argsort(part, kind="stable")
+                found, first = np.unique(part[order], return_index=True)
+                columns = [x[order] for x in columns]
+                ends = [*first[1:].tolist(), len(order)]
+                return {"part": numbers[found], "places": [_packed([x[a:z] for x in columns]) for a, z in zip(first.tolist(), ends, strict=True)]}
+
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                columns = _open_places(model, batch, depth)
+                mine = columns[0] % np.uint64(rounds) == turn
+                held.append([x[mine] for x in columns])
+                size += int(mine.sum())
+                if size >= 2 * FLUSH:
+                    yield out()
+                    size = 0
+            if size:
+                yield out()
+
+        return run
+
+    def learn(batches):
+        held = [_unpacked(x) for batch in batches for x in batch.column("places").to_pylist()]
+        if held:
+            row, delta = _learned(pickle.loads(shared.value), [np.concatenate(x) for x in zip(*held, strict=True)], least, divergence, kappa)
+            found, place = np.unique(row, return_inverse=True)
+            yield {"row": found, "delta": np.bincount(place, weights=delta, minlength=len(found))}
+
+    out = []
+    for turn in range(rounds):
+        dealt = arrow_map(rows.select("row", "held_out", "ids", "far"), deal(turn), "part int, places binary").repartition(parts, "part")
+        out.append(cut(arrow_map(dealt.select("places"), learn, "row long, delta double").groupBy("row").agg(F.sum("delta").alias("delta")), "rarer"))
+    return out
+
+
 def score(docs: DataFrame, tree: Tree, tokens: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs, by the tree alone."""
     return scored(coded(docs, tree), tree, tokens)
 
 
-def scored(rows: DataFrame, tree: Tree, tokens: DataFrame) -> DataFrame:
+def scored(rows: DataFrame, tree: Tree, tokens: DataFrame, more: Sequence[DataFrame] = ()) -> DataFrame:
+    """As score, of stored rows; more: (row, delta) that are added to scores."""
     shared = _shared(rows, tree.without_words())
 
     def run(batches):
@@ -360,7 +536,7 @@ def scored(rows: DataFrame, tree: Tree, tokens: DataFrame) -> DataFrame:
                 "in_h": np.add.reduceat(in_h.astype(np.int64), starts) + batch.column("known").to_numpy(zero_copy_only=False), "base": np.add.reduceat(base, starts) + sums, "full": np.add.reduceat(full, starts) + sums,
             }
 
-    kept = arrow_map(rows.drop("rest"), run, "row long, doc_id long, held_out boolean, n_tokens long, in_h long, base double, full double")
+    kept = arrow_map(rows.drop("rest", "far"), run, "row long, doc_id long, held_out boolean, n_tokens long, in_h long, base double, full double")
     rest = rows.select("row", F.explode("rest").alias("x")).select("row", "x.token", "x.n")
     low = F.lit(float(tree.low))
     known = F.coalesce(F.col("c"), F.lit(0))
@@ -370,10 +546,13 @@ def scored(rows: DataFrame, tree: Tree, tokens: DataFrame) -> DataFrame:
         .agg(F.sum(F.when(known > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * (F.log10((known + 1).cast("double")) + low)).alias("sum"))
     )
     out = kept.join(tail, "row", "left")
-    plus = F.coalesce(F.col("sum"), F.lit(0.0))
+    plus, delta = F.coalesce(F.col("sum"), F.lit(0.0)), F.lit(0.0)
+    if more:
+        out = out.join(reduce(DataFrame.unionByName, more).groupBy("row").agg(F.sum("delta").alias("delta")), "row", "left")
+        delta = F.coalesce(F.col("delta"), F.lit(0.0))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("in_h") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"),
-        (F.col("base") + plus).alias("base_score"), (F.col("full") + plus).alias("score"),
+        (F.col("base") + plus).alias("base_score"), (F.col("full") + plus + delta).alias("score"),
     )
 
 
@@ -382,4 +561,4 @@ def score_all(docs: DataFrame) -> DataFrame:
     tree, tokens = vocabulary(docs.where(~held_out(7, 2)))
     rows = coded(docs, tree)
     grow(tree, rows.where(~F.col("held_out")))
-    return scored(rows, tree, tokens)
+    return scored(rows, tree, tokens, rarer(rows, tree))

@@ -143,3 +143,74 @@ def test_edges(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     only = lm.score_all(spark.createDataFrame([(held, "a b", None)], SCHEMA)).first()
     assert (only.n_known, only.train_tokens, only.n_tokens) == (0, 0, 3) and only.base_score == 0
+
+
+def naive_with_rarer(training, texts, often, least, depth, divergence, kappa):
+    """As naive, where only tokens that occur often are told apart as followers, and contexts are of any tokens."""
+    counts, follow = Counter(), {}
+    for text in training:
+        tokens = [*lm.words(text), lm.END]
+        counts.update(tokens)
+        for i, w in enumerate(tokens):
+            for d in range(1, min(depth, i + 1) + 1):
+                follow.setdefault(tuple(([lm.END] + tokens[:i])[-d:]), Counter())[w] += 1
+    total, size = sum(counts.values()), len(counts)
+    root = lambda w: (counts[w] + 1) / (total + size + 1)
+    h = {w for w, c in counts.items() if c >= often}
+    out_h = 1 - sum(root(w) for w in h)
+    kept = {(): None}
+    parent = lambda c: next(c[i:] for i in range(1, len(c) + 1) if c[i:] in kept)
+    ratio = lambda s: kept[s][3] if s else 1.0
+
+    def p(state, w):
+        if not state:
+            return root(w)
+        n, part, left, _ = kept[state]
+        return part.get(w, 0) / (n + kappa) + left * p(parent(state), w)
+
+    for c in sorted(follow, key=lambda c: (len(c), c)):
+        f, up = follow[c], parent(c)
+        n = sum(f.values())
+        if n < least:
+            continue
+        n_out = sum(x for w, x in f.items() if w not in h)
+        part = {w: x for w, x in f.items() if w in h and x >= 2}
+        in_up = sum(p(up, w) for w in h)
+        p_out = (n_out + kappa * ratio(up) * out_h) / (n + kappa)
+        left = (n - n_out - sum(part.values()) + kappa * in_up) / ((n + kappa) * in_up)
+        own = {w: part.get(w, 0) / (n + kappa) + left * p(up, w) for w in h}
+        gain = sum(x * math.log(x / p(up, w)) for w, x in own.items()) + p_out * math.log(p_out / (ratio(up) * out_h))
+        if gain >= divergence:
+            kept[c] = (n, part, left, p_out / out_h)
+    out = []
+    for text in texts:
+        tokens, sum_ = [*lm.words(text), lm.END], 0.0
+        for i, w in enumerate(tokens):
+            before = tuple(([lm.END] + tokens[:i])[-depth:])
+            state = next(before[j:] for j in range(len(before) + 1) if before[j:] in kept)
+            sum_ += math.log10(p(state, w) if w in h else root(w) * ratio(state))
+        out.append(sum_)
+    return out, {c for c in kept if sum(follow.get(c, Counter()).values()) < often and c}
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_contexts_too_rare_for_the_tree_are_learned_too(spark, depth):
+    rng = random.Random(depth)
+    phrases = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 5))) for _ in range(6)]
+    phrases += ["r%d %s" % (i, " ".join(rng.choice("abcdefgh") for _ in range(3))) for i in range(12)]
+    texts = ["", "a", *(" ".join(rng.choice([*phrases, "rare%d" % rng.randrange(40), "x"]) for _ in range(rng.randrange(30))) for _ in range(160))]
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    training = [t for t, out in zip(texts, held, strict=True) if not out]
+    total = sum(len(lm.words(t)) + 1 for t in training)
+    want, rare = naive_with_rarer(training, texts, 150, 8, depth, 0.02, 4.0)
+    assert {len(c) for c in rare} == set(range(1, depth + 1))
+    tree, tokens = lm.vocabulary(df.where(~lm.held_out(7, 2)), p_min=150 / total, least=8)
+    rows = lm.coded(df, tree)
+    lm.grow(tree, rows.where("not held_out"), entry_min=0.0, divergence=0.02, depth=depth)
+    assert len(tree.parent)
+    more = lm.rarer(rows, tree, least=8, divergence=0.02, depth=depth, at_once=500)
+    got = {r.doc_id: r.score for r in lm.scored(rows, tree, tokens, more).collect()}
+    alone = {r.doc_id: r.score for r in lm.scored(rows, tree, tokens).collect()}
+    assert all(got[i] == pytest.approx(x, abs=1e-6) for i, x in enumerate(want))
+    assert sum(abs(got[i] - alone[i]) > 1e-3 for i in got) > len(got) // 2
