@@ -2,16 +2,17 @@
 
 Tokens are the words of a text, ASCII letters lower-cased, then one end. Every training token is counted. The root of the
 tree is the add-one unigram distribution of all of them. Contexts of one to DEPTH tokens are candidates if they occur at least
-LEAST times, so the tree grows with the corpus, and, as the tree is broadcast, if they make up at least P_MIN of the training
-tokens (so there are at most 1 / P_MIN of a length). They are retained if their next-symbol distribution diverges from their
+LEAST times, so the tree grows with the corpus. They are retained if their next-symbol distribution diverges from their
 parent's, the longest retained suffix's, by at least DIVERGENCE nats. The state of a place is the longest retained suffix of
-what stands before it; a text begins after ends.
+what stands before it; a text begins after ends. Candidates that make up at least P_MIN of the training tokens (so there are at
+most 1 / P_MIN of a length) are broadcast; all others are learned where their places meet (see rarer).
 
-Next symbols: H is the set of tokens that are frequent enough to be candidates. A state s with n followers, of which n_H are in H:
+Next symbols: H is the set of tokens that are frequent enough to be broadcast candidates. A state s with n followers, of which n_H are in H:
   w in H:  p(w|s) = c(s,w) / (n + KAPPA) + left(s) * p(w|parent), the first part for followers that make up at least
-           ENTRY_MIN of the training tokens, left(s) being what makes the sum over H (n_H + KAPPA * p(H|parent)) / (n + KAPPA);
+           ENTRY_MIN of the training tokens (below that they count to left(s)), left(s) being what makes the sum over H (n_H + KAPPA * p(H|parent)) / (n + KAPPA);
   others:  p(w|s) = p(w|root) * p(not H|s) / p(not H|root).
-So contexts, H and followers kept have sizes bounded by P_MIN and ENTRY_MIN whatever the corpus, and are broadcast, as are
+For contexts that are not broadcast, every follower in H that occurs twice after them is kept.
+So what is broadcast of contexts, H and followers has sizes bounded by P_MIN and ENTRY_MIN whatever the corpus, as have
 counts of tokens that make up at least KNOWN_MIN; counts of rarer tokens are joined by a shuffle, for which only a text's
 distinct rare tokens travel.
 
@@ -25,8 +26,6 @@ import copy
 import math
 import pickle
 from collections import Counter
-from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import xxhash
@@ -48,9 +47,11 @@ DIVERGENCE = 0.01
 KAPPA = 4.0
 #: No word holds a space.
 END = b" "
-#: Places of rarer contexts that a task learns from at once, and passes over the texts in which these are dealt.
+#: Places of rarer contexts that a task learns from, and texts whose changes it sums, at once.
 AT_ONCE = 1_000_000
-ROUNDS = 2
+TEXTS_AT_ONCE = 30_000
+#: Tokens outside H whose hashes may be broadcast.
+MIDDLE = 1 << 22
 #: Distinct tokens, or codes of followers, that a task gathers before it hands them on.
 FLUSH = 500_000
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -108,12 +109,13 @@ class Tree:
         """The token before each place, the one before that, and so on; a text begins after ends."""
         end = self.end if end is None else end
         sizes = np.diff(np.append(starts, len(ids)))
-        place = np.arange(len(ids)) - np.repeat(starts, sizes)
         out = []
         for d in range(1, depth + 1):
-            token = np.full(len(ids), end, ids.dtype)
-            token[d:] = ids[: len(ids) - d] if d < len(ids) else token[d:]
-            out.append(np.where(place >= d, token, end))
+            token = np.empty(len(ids), ids.dtype)
+            token[d:] = ids[: max(0, len(ids) - d)]
+            for j in range(d):
+                token[starts[sizes > j] + j] = end
+            out.append(token)
         return out
 
     def number(self, before: list[np.ndarray], depth: int) -> np.ndarray:
@@ -214,22 +216,19 @@ def coded(docs: DataFrame, tree: Tree) -> DataFrame:
 
     def run(batches):
         model = pickle.loads(shared.value)
-        get, other, known = model.ids.get, model.size, model.known.get
+        get, other, known, hashed = model.ids.get, model.size, model.known.get, xxhash.xxh64_intdigest
         end = [] if model.end < model.size else [(END, 1)]
         for batch in batches:
             out = {c: [] for c in ("ids", "far", "known", "known_sum", "rest")}
             for text in batch.column("text").to_pylist():
                 w = words(text)
                 ids = [get(x, other) for x in w]
-                found, total, rest, far = 0, 0.0, Counter(), []
-                for x, i in zip(w, ids, strict=True):
-                    if i == other:
-                        far.append(_hash(x))
-                        p = known(x)
-                        if p is None:
-                            rest[x] += 1
-                        else:
-                            found, total = found + 1, total + p
+                rare = [x for x, i in zip(w, ids, strict=True) if i == other]
+                far = [-1 - (hashed(x) >> 1) for x in rare]
+                found, total, rest = 0, 0.0, Counter(rare)
+                for x in [x for x in rest if known(x) is not None] if model.known else ():
+                    n = rest.pop(x)
+                    found, total = found + n, total + n * known(x)
                 ids.append(model.end)
                 for c, v in zip(out, (ids, far, found, total, [{"token": t, "n": n} for t, n in (*rest.items(), *end)]), strict=True):
                     out[c].append(v)
@@ -352,31 +351,71 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: What is dealt of a place: a hash of its shortest context that is no candidate of the tree, the two tokens before that, the
-#: state of the tree, the token, the row, and whether it is a training place.
-_PLACE = (np.uint64, np.uint32, np.uint32, np.int32, np.int32, np.int64, np.bool_)
+#: What is dealt of a place: how many tokens the tree's longest candidate before it has, that one's number, the token before
+#: that (whole, in two parts) and the two tokens still before, the token itself, the row, whether it is a training place.
+_PLACE = (np.uint8, np.int32, np.uint32, np.uint32, np.uint32, np.uint32, np.int32, np.int64, np.bool_)
+#: What is handed back: a row and by how much its score changes.
+_CHANGE = (np.int64, np.float64)
 #: No token stands there, or none that makes a longer context.
 _NO = 0x7FFFFFFF
+#: For a token that is itself too rare for any context.
+_RARE = -(1 << 63)
 
 
-def _packed(columns: list[np.ndarray]) -> bytes:
-    """Columns byte by byte, which squeeze better so."""
-    raw = b"".join(np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T).tobytes() for x in columns)
+def _packed(columns: list[np.ndarray], kinds) -> bytes:
+    """Columns byte by byte, which squeeze better so; rows, which mostly ascend, as differences."""
+    columns = [np.diff(x, prepend=0) if t is np.int64 else x for x, t in zip(columns, kinds, strict=True)]
+    raw = b"".join(x.astype(t, copy=False).view(np.uint8).reshape(len(x), -1).T.tobytes() for x, t in zip(columns, kinds, strict=True))
     return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
-def _unpacked(blob: bytes) -> list[np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    sizes = [np.dtype(t).itemsize for t in _PLACE]
-    n, at, out = len(raw) // sum(sizes), 0, []
-    for t, size in zip(_PLACE, sizes, strict=True):
-        out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(t).ravel())
-        at += n * size
-    return out
+def _unpacked(blobs: list[bytes], kinds) -> list[np.ndarray]:
+    parts = []
+    sizes = [np.dtype(t).itemsize for t in kinds]
+    for blob in blobs:
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+        n, at, out = len(raw) // sum(sizes), 0, []
+        for t, size in zip(kinds, sizes, strict=True):
+            x = np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(t).ravel()
+            out.append(np.cumsum(x) if t is np.int64 else x)
+            at += n * size
+        parts.append(out)
+    return [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+
+def _split(columns: list[np.ndarray], hashes: np.ndarray, parts: int, kinds) -> tuple[np.ndarray, list[bytes]]:
+    """Which of parts parts there are, by 64-bit hashes, and their rows packed."""
+    part = (hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    # short numbers are sorted by their digits
+    order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.uint32), kind="stable")
+    part = part[order]
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    columns = [x[order] for x in columns]
+    return part[first].astype(np.int64), [_packed([x[a:z] for x in columns], kinds) for a, z in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True)]
+
+
+def _context(found: np.ndarray, number: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the shortest contexts beyond the tree, by which they are dealt and told apart."""
+    token = high.astype(np.uint64) << np.uint64(32) | low
+    return _mix(_mix(token + np.uint64(0x9E3779B97F4A7C15)) + (number.astype(np.uint64) << np.uint64(2) | found))
+
+
+def _often_enough(tokens: DataFrame, tree: Tree, least: int) -> np.ndarray | None:
+    """Sorted hashes of the tokens outside H that occur least times; None if they are too many to be broadcast."""
+    some = tokens.where((F.col("c") >= least) & (F.col("c") < tree.often)).select("token")
+    if some.count() > MIDDLE:
+        return None
+
+    def run(batches):
+        for batch in batches:
+            yield {"hash": [_hash(x) for x in batch.column("token").to_pylist()]}
+
+    return np.sort(_columns(arrow_map(some, run, "hash long"))["hash"])
 
 
-def _open_places(model: Tree, batch, depth: int) -> list[np.ndarray]:
-    """The columns of _PLACE for those places of a batch that have a context of at most depth tokens beyond the tree's."""
+def _open_places(model: Tree, batch, depth: int, middle: np.ndarray | None) -> list[np.ndarray]:
+    """The columns of _PLACE for those places of a batch that have a context of at most depth tokens beyond the tree's, none of
+    them a token outside H and middle."""
     ids, starts = _sequence(batch)
     sizes = np.diff(np.append(starts, len(ids)))
     # tokens as they are told apart: numbers of H, hashes of others
@@ -385,45 +424,55 @@ def _open_places(model: Tree, batch, depth: int) -> list[np.ndarray]:
     exact[starts + sizes - 1] = end
     others = ids == model.size
     others[starts + sizes - 1] = False
-    exact[others] = batch.column("far").flatten().to_numpy(zero_copy_only=False)
-    before, token = model.before(ids, starts, depth), model.before(exact, starts, depth, end)
-    # how many tokens the longest candidate has, and a hash of one more
-    found, number = np.zeros(len(ids), np.int64), np.where(before[0] < model.size, before[0], -1)
-    h = np.zeros(len(ids), np.uint64)
-    key, more = np.zeros(len(ids), np.uint64), [np.full(len(ids), _NO, np.uint32) for _ in range(2)]
-    usable = np.zeros(len(ids), bool)
+    far = batch.column("far").flatten().to_numpy(zero_copy_only=False)
+    if middle is not None:
+        far = np.where(np.append(middle, 0)[np.searchsorted(middle, far)] == far, far, _RARE)
+    exact[others] = far
+    token = model.before(exact, starts, depth, end)
+
+    def short(at, d):
+        x = token[d][at]
+        # what stands before a text's beginning makes no longer context
+        return np.where((token[d - 1][at] == end) | (x == _RARE), _NO, np.where(x >= 0, x, (x & 0x7FFFFFFF) | 0x80000000)).astype(np.uint32)
+
+    out = []
+    at, number = np.arange(len(ids)), np.zeros(len(ids), np.int64)
     for d in range(depth):
+        t = token[d][at]
         if d:
-            number = model._deeper(number, before[d], d) if d <= len(model.codes) else np.full(len(ids), -1)
-        h = _mix(h + _mix(token[d].view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
-        # what stands before a text's beginning makes no longer context
-        real = token[d - 1] != end if d else np.ones(len(ids), bool)
-        first = (found == d) & (number < 0)
-        key[first], usable[first] = h[first], real[first]
-        short = np.where(token[d] >= 0, token[d], (token[d] & 0x7FFFFFFF) | 0x80000000).astype(np.uint32)
-        for later in (1, 2):
-            # the chain broke later places before
-            on = (found == d - later) & (number < 0) & real
-            more[later - 1][on] = short[on]
-        found += number >= 0
-    places = np.flatnonzero(usable)
+            real = token[d - 1][at] != end
+            at, number, t = at[real], number[real], t[real]
+            longer = model._deeper(number, np.where(t >= 0, t, model.size), d) if d <= len(model.codes) else np.full(len(at), -1)
+        else:
+            longer = np.where(t >= 0, t, -1)
+        gone = (longer < 0) & (t != _RARE)
+        here, whole = at[gone], t[gone].view(np.uint64)
+        more = [short(here, e) if e < depth else np.full(len(here), _NO, np.uint32) for e in (d + 1, d + 2)]
+        if d + 2 < depth:
+            more[1][more[0] == _NO] = _NO
+        out.append([np.full(len(here), d, np.uint8), number[gone].astype(np.int32), (whole & np.uint64(0xFFFFFFFF)).astype(np.uint32), (whole >> np.uint64(32)).astype(np.uint32), *more, here])
+        at, number = at[longer >= 0], longer[longer >= 0]
+    *columns, places = [np.concatenate(x) for x in zip(*out, strict=True)]
     text = np.repeat(np.arange(len(starts)), sizes)[places]
     row = batch.column("row").to_numpy(zero_copy_only=False)[text]
-    train = ~batch.column("held_out").to_numpy(zero_copy_only=False)[text]
-    return [c.astype(t, copy=False) for c, t in zip((key[places], more[0][places], more[1][places], model.state_of(before)[places], ids[places], row, train), _PLACE, strict=True)]
+    return [*columns, ids[places].astype(np.int32), row, ~batch.column("held_out").to_numpy(zero_copy_only=False)[text]]
 
 
 def _learned(model: Tree, places: list[np.ndarray], least: int, divergence: float, kappa: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, how much log10 p changes) of places whose state is one of the contexts that these places, all of theirs, give."""
-    key, second, third, state, token, row, train = places
-    _, group = np.unique(key, return_inverse=True)
-    at = np.arange(len(key))
-    before = state.astype(np.int64)
+    """(row, by how much its log10 p changes) of places whose state is one of the contexts that these places, all of theirs, give."""
+    found, number, low, high, second, third, token, row, train = places
+    before, own = np.full(len(row), -1), None
+    for d, states in enumerate(model.states, 1):
+        # the longest retained suffix of each candidate
+        own = states if own is None else np.where(states >= 0, states, own[model.codes[d - 2] // (model.size + 1)])
+        on = found == d
+        before[on] = own[number[on]]
+    _, group = np.unique(_context(found, number, low, high), return_inverse=True)
+    at = np.arange(len(row))
     now, token = before.copy(), token.astype(np.int64)
     for following in (second, third, None):
         # contexts that occur often enough, by number
-        n = np.bincount(group[train[at]])
-        keep = np.append(n, np.zeros(max(0, group.max(initial=-1) + 1 - len(n)), np.int64)) >= least
+        keep = np.bincount(group, weights=train[at]) >= least
         at, group = at[keep[group]], (np.cumsum(keep) - 1)[group[keep[group]]]
         if not len(at):
             break
@@ -444,66 +493,75 @@ def _learned(model: Tree, places: list[np.ndarray], least: int, divergence: floa
     new = np.flatnonzero(now != before)
     a, z, token = before[new], now[new], token[new]
     in_h = token < model.size
-    out = np.log10(model.ratio[z]) - np.log10(np.where(a >= 0, model.ratio[a], 1.0))
+    out = np.log10(model.ratio[z]) - np.log10(np.where(a >= 0, model.ratio[a], 1.0)) if len(new) else np.zeros(0)
     out[in_h] = np.log10(model.p(z[in_h], token[in_h])) - np.log10(model.p(a[in_h], token[in_h]))
     return row[new], out
 
 
-def rarer(rows: DataFrame, tree: Tree, least: int = LEAST, divergence: float = DIVERGENCE, kappa: float = KAPPA, depth: int = DEPTH, at_once: int = AT_ONCE, rounds: int = ROUNDS) -> list[DataFrame]:
-    """Stored (row, delta): what the contexts that occur least times, but not often enough for the tree, add to the scores."""
+def _numbers(spark, parts: int) -> np.ndarray:
+    """A number for each of parts partitions that Spark deals there."""
+    place = F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("p")
+    out = np.arange(parts)
+    for p, n in spark.range(16 * parts).select(place, "id").groupBy("p").agg(F.min("id")).collect():
+        out[p] = n
+    return out
+
+
+def rarer(rows: DataFrame, tree: Tree, tokens: DataFrame, least: int = LEAST, divergence: float = DIVERGENCE, kappa: float = KAPPA, depth: int = DEPTH, at_once: int = AT_ONCE) -> DataFrame | None:
+    """Stored (row, delta): what the contexts that occur least times, but not often enough for the tree, add to the scores.
+
+    Places are dealt by the shortest context beyond the tree's, so that all of a context meet. Only those are not whose context
+    has a token that itself occurs fewer than least times, while the tokens that occur least times can be broadcast.
+    """
     if not tree.size or tree.often <= least:
-        return []
+        return None
     spark = rows.sparkSession
     shared = _shared(rows, tree.without_words())
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(1.2 * tree.total / rounds / at_once))
-    # a number for each partition that Spark deals there
-    place = F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("p")
-    numbers = np.arange(parts)
-    for p, n in spark.range(16 * parts).select(place, "id").groupBy("p").agg(F.min("id")).collect():
-        numbers[p] = n
-
-    def deal(turn):
-        def run(batches):
-            model = pickle.loads(shared.value)
-            held, size = [], 0
-
-            def out():
-                columns = [np.concatenate(x) for x in zip(*held, strict=True)]
-                held.clear()
-                part = (columns[0] // np.uint64(rounds) % np.uint64(parts)).astype(np.uint32)
-                order = np.argsort(part, kind="stable")
-                found, first = np.unique(part[order], return_index=True)
-                columns = [x[order] for x in columns]
-                ends = [*first[1:].tolist(), len(order)]
-                return {"part": numbers[found], "places": [_packed([x[a:z] for x in columns]) for a, z in zip(first.tolist(), ends, strict=True)]}
-
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                columns = _open_places(model, batch, depth)
-                mine = columns[0] % np.uint64(rounds) == turn
-                held.append([x[mine] for x in columns])
-                size += int(mine.sum())
+    middle = spark.sparkContext.broadcast(pickle.dumps(_often_enough(tokens, tree, least)))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(1.2 * tree.total / at_once))
+    texts = int(tree.counts[tree.end]) if tree.end < tree.size else 1
+    back = max(12, math.ceil(texts / TEXTS_AT_ONCE))
+    numbers, back_numbers = _numbers(spark, parts), _numbers(spark, back)
+
+    def deal(batches):
+        model, often = pickle.loads(shared.value), pickle.loads(middle.value)
+        held, size = [], 0
+
+        def out():
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            held.clear()
+            part, blobs = _split(columns, _context(*columns[:4]), parts, _PLACE)
+            return {"part": numbers[part], "places": blobs}
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(_open_places(model, batch, depth, often))
+                size += len(held[-1][0])
                 if size >= 2 * FLUSH:
                     yield out()
                     size = 0
-            if size:
-                yield out()
-
-        return run
+        if size:
+            yield out()
 
     def learn(batches):
-        held = [_unpacked(x) for batch in batches for x in batch.column("places").to_pylist()]
+        held = [x for batch in batches for x in batch.column("places").to_pylist()]
+        if held:
+            row, delta = _learned(pickle.loads(shared.value), _unpacked(held, _PLACE), least, divergence, kappa)
+            if len(row):
+                found, place = np.unique(row, return_inverse=True)
+                part, blobs = _split([found, np.bincount(place, weights=delta)], _mix(found.astype(np.uint64)), back, _CHANGE)
+                yield {"part": back_numbers[part], "changes": blobs}
+
+    def summed(batches):
+        held = [x for batch in batches for x in batch.column("changes").to_pylist()]
         if held:
-            row, delta = _learned(pickle.loads(shared.value), [np.concatenate(x) for x in zip(*held, strict=True)], least, divergence, kappa)
+            row, delta = _unpacked(held, _CHANGE)
             found, place = np.unique(row, return_inverse=True)
-            yield {"row": found, "delta": np.bincount(place, weights=delta, minlength=len(found))}
+            yield {"row": found, "delta": np.bincount(place, weights=delta)}
 
-    out = []
-    for turn in range(rounds):
-        dealt = arrow_map(rows.select("row", "held_out", "ids", "far"), deal(turn), "part int, places binary").repartition(parts, "part")
-        out.append(cut(arrow_map(dealt.select("places"), learn, "row long, delta double").groupBy("row").agg(F.sum("delta").alias("delta")), "rarer"))
-    return out
+    dealt = arrow_map(rows.select("row", "held_out", "ids", "far"), deal, "part int, places binary").repartition(parts, "part")
+    changes = arrow_map(dealt.select("places"), learn, "part int, changes binary").repartition(back, "part")
+    return cut(arrow_map(changes.select("changes"), summed, "row long, delta double"), "rarer")
 
 
 def score(docs: DataFrame, tree: Tree, tokens: DataFrame) -> DataFrame:
@@ -511,7 +569,7 @@ def score(docs: DataFrame, tree: Tree, tokens: DataFrame) -> DataFrame:
     return scored(coded(docs, tree), tree, tokens)
 
 
-def scored(rows: DataFrame, tree: Tree, tokens: DataFrame, more: Sequence[DataFrame] = ()) -> DataFrame:
+def scored(rows: DataFrame, tree: Tree, tokens: DataFrame, more: DataFrame | None = None) -> DataFrame:
     """As score, of stored rows; more: (row, delta) that are added to scores."""
     shared = _shared(rows, tree.without_words())
 
@@ -547,8 +605,8 @@ def scored(rows: DataFrame, tree: Tree, tokens: DataFrame, more: Sequence[DataFr
     )
     out = kept.join(tail, "row", "left")
     plus, delta = F.coalesce(F.col("sum"), F.lit(0.0)), F.lit(0.0)
-    if more:
-        out = out.join(reduce(DataFrame.unionByName, more).groupBy("row").agg(F.sum("delta").alias("delta")), "row", "left")
+    if more is not None:
+        out = out.join(more, "row", "left")
         delta = F.coalesce(F.col("delta"), F.lit(0.0))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("in_h") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"),
@@ -561,4 +619,4 @@ def score_all(docs: DataFrame) -> DataFrame:
     tree, tokens = vocabulary(docs.where(~held_out(7, 2)))
     rows = coded(docs, tree)
     grow(tree, rows.where(~F.col("held_out")))
-    return scored(rows, tree, tokens, rarer(rows, tree))
+    return scored(rows, tree, tokens, rarer(rows, tree, tokens))

@@ -194,7 +194,7 @@ def naive_with_rarer(training, texts, often, least, depth, divergence, kappa):
 
 
 @pytest.mark.parametrize("depth", [1, 2, 3])
-def test_contexts_too_rare_for_the_tree_are_learned_too(spark, depth):
+def test_contexts_too_rare_for_the_tree_are_learned_too(spark, monkeypatch, depth):
     rng = random.Random(depth)
     phrases = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 5))) for _ in range(6)]
     phrases += ["r%d %s" % (i, " ".join(rng.choice("abcdefgh") for _ in range(3))) for i in range(12)]
@@ -209,7 +209,9 @@ def test_contexts_too_rare_for_the_tree_are_learned_too(spark, depth):
     rows = lm.coded(df, tree)
     lm.grow(tree, rows.where("not held_out"), entry_min=0.0, divergence=0.02, depth=depth)
     assert len(tree.parent)
-    more = lm.rarer(rows, tree, least=8, divergence=0.02, depth=depth, at_once=500)
+    # with and without the tokens that may be in contexts
+    monkeypatch.setattr(lm, "MIDDLE", 0 if depth == 2 else lm.MIDDLE)
+    more = lm.rarer(rows, tree, tokens, least=8, divergence=0.02, depth=depth, at_once=500)
     got = {r.doc_id: r.score for r in lm.scored(rows, tree, tokens, more).collect()}
     alone = {r.doc_id: r.score for r in lm.scored(rows, tree, tokens).collect()}
     assert all(got[i] == pytest.approx(x, abs=1e-6) for i, x in enumerate(want))
