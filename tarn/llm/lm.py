@@ -7,14 +7,14 @@ parent's, the longest retained suffix's, by at least DIVERGENCE nats. The state
 what stands before it; a text begins after ends. Candidates that make up at least P_MIN of the training tokens (so there are at
 most 1 / P_MIN of a length) are broadcast; all others are learned where their places meet (see rarer).
 
-Next symbols: H is the set of tokens that are frequent enough to be broadcast candidates. A state s with n followers, of which n_H are in H:
+Next symbols: H is the set of tokens that are frequent enough to be broadcast. A state s with n followers, of which n_H are in H:
   w in H:  p(w|s) = c(s,w) / (n + KAPPA) + left(s) * p(w|parent), the first part for followers that make up at least
-           ENTRY_MIN of the training tokens (below that they count to left(s)), left(s) being what makes the sum over H (n_H + KAPPA * p(H|parent)) / (n + KAPPA);
+           ENTRY_MIN of the training tokens, left(s) being what makes the sum over H (n_H + KAPPA * p(H|parent)) / (n + KAPPA);
   others:  p(w|s) = p(w|root) * p(not H|s) / p(not H|root).
 For contexts that are not broadcast, every follower in H that occurs twice after them is kept.
-So what is broadcast of contexts, H and followers has sizes bounded by P_MIN and ENTRY_MIN whatever the corpus, as have
-counts of tokens that make up at least KNOWN_MIN; counts of rarer tokens are joined by a shuffle, for which only a text's
-distinct rare tokens travel.
+So broadcast contexts, H and their followers have sizes bounded by P_MIN and ENTRY_MIN whatever the corpus, as have counts of
+tokens that make up at least KNOWN_MIN. Counts of up to MIDDLE tokens that occur LEAST times are broadcast by hash; counts of
+rarer tokens are joined by a shuffle, for which only a text's distinct rare tokens travel.
 
 Cases: a null or blank text is one end; nothing to train on leaves add-one on no counts; a null doc_id counts as a
 training row; repeated rows are counted and scored each; an empty table gives no rows; other columns are ignored.
@@ -26,8 +26,10 @@ import copy
 import math
 import pickle
 from collections import Counter
+from itertools import compress
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import cloudpickle
@@ -50,7 +52,7 @@ END = b" "
 #: Places of rarer contexts that a task learns from, and texts whose changes it sums, at once.
 AT_ONCE = 1_000_000
 TEXTS_AT_ONCE = 30_000
-#: Tokens outside H whose hashes may be broadcast.
+#: Tokens outside H whose hashes and counts may be broadcast.
 MIDDLE = 1 << 22
 #: Distinct tokens, or codes of followers, that a task gathers before it hands them on.
 FLUSH = 500_000
@@ -98,6 +100,9 @@ class Tree:
         self.entry_codes, self.entry_p = np.zeros(0, np.int64), np.zeros(0)
         #: log10 of the root's p of tokens outside H whose counts are known here
         self.known: dict[bytes, float] = {}
+        #: sorted hashes of the tokens outside H that may stand in contexts, and log10 of the root's p of each; None: not known
+        self.middle: np.ndarray | None = None
+        self.middle_p = np.zeros(0)
 
     def without_words(self) -> Tree:
         """For passes over coded texts."""
@@ -133,6 +138,13 @@ class Tree:
         k = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
         return np.where((number >= 0) & (token < self.size) & (codes[k] == code), k, -1)
 
+    def in_middle(self, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash would be in middle, and whether it is there."""
+        if self.middle is None or not len(self.middle):
+            return np.zeros(len(far), np.int64), np.zeros(len(far), bool)
+        at = np.minimum(np.searchsorted(self.middle, far), len(self.middle) - 1)
+        return at, self.middle[at] == far
+
     def p(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
         """p(token | state) for tokens of H."""
         out = np.zeros(len(state))
@@ -219,20 +231,25 @@ def coded(docs: DataFrame, tree: Tree) -> DataFrame:
         get, other, known, hashed = model.ids.get, model.size, model.known.get, xxhash.xxh64_intdigest
         end = [] if model.end < model.size else [(END, 1)]
         for batch in batches:
-            out = {c: [] for c in ("ids", "far", "known", "known_sum", "rest")}
+            ids, rare = [], []
             for text in batch.column("text").to_pylist():
                 w = words(text)
-                ids = [get(x, other) for x in w]
-                rare = [x for x, i in zip(w, ids, strict=True) if i == other]
-                far = [-1 - (hashed(x) >> 1) for x in rare]
-                found, total, rest = 0, 0.0, Counter(rare)
-                for x in [x for x in rest if known(x) is not None] if model.known else ():
-                    n = rest.pop(x)
-                    found, total = found + n, total + n * known(x)
-                ids.append(model.end)
-                for c, v in zip(out, (ids, far, found, total, [{"token": t, "n": n} for t, n in (*rest.items(), *end)]), strict=True):
-                    out[c].append(v)
-            yield {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out")} | out
+                ids.append([get(x, other) for x in w])
+                rare.append([x for x, i in zip(w, ids[-1], strict=True) if i == other])
+                ids[-1].append(model.end)
+            far = np.array([-1 - (hashed(x) >> 1) for some in rare for x in some], np.int64)
+            which = np.repeat(np.arange(len(rare)), [len(x) for x in rare])
+            at, hit = model.in_middle(far)
+            found, total = np.bincount(which[hit], minlength=len(rare)), np.bincount(which[hit], weights=model.middle_p[at[hit]] if hit.any() else None, minlength=len(rare)).astype(float)
+            ends = np.cumsum([0, *(len(x) for x in rare)])
+            rest = []
+            for k, some in enumerate(rare):
+                left = Counter(compress(some, (~hit[ends[k] : ends[k + 1]]).tolist()))
+                for x in [x for x in left if known(x) is not None] if model.known else ():
+                    n = left.pop(x)
+                    found[k], total[k] = found[k] + n, total[k] + n * known(x)
+                rest.append([{"token": t, "n": n} for t, n in (*left.items(), *end)])
+            yield {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "ids": ids, "far": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(far)), "known": found, "known_sum": total, "rest": rest}
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(7, 2).alias("held_out"))
     # the row number is stored with the row, so it stays the same whatever is computed again
@@ -302,6 +319,16 @@ def vocabulary(training: DataFrame, p_min: float = P_MIN, least: int = LEAST) ->
     tree = Tree([x for x in common if x[1] >= often], total, distinct)
     tree.often = often
     tree.known = {t: math.log10(c + 1) + tree.low for t, c in common[tree.size :]}
+    some = tokens.where((F.col("c") >= least) & (F.col("c") < often))
+    if often > least and some.count() <= MIDDLE:
+
+        def run(batches):
+            for batch in batches:
+                yield {"hash": [_hash(x) for x in batch.column("token").to_pylist()], "c": batch.column("c")}
+
+        middle = _columns(arrow_map(some, run, "hash long, c long"))
+        order = np.argsort(middle["hash"])
+        tree.middle, tree.middle_p = middle["hash"][order], np.log10(middle["c"][order] + 1.0) + tree.low
     return tree, tokens
 
 
@@ -400,22 +427,9 @@ def _context(found: np.ndarray, number: np.ndarray, low: np.ndarray, high: np.nd
     return _mix(_mix(token + np.uint64(0x9E3779B97F4A7C15)) + (number.astype(np.uint64) << np.uint64(2) | found))
 
 
-def _often_enough(tokens: DataFrame, tree: Tree, least: int) -> np.ndarray | None:
-    """Sorted hashes of the tokens outside H that occur least times; None if they are too many to be broadcast."""
-    some = tokens.where((F.col("c") >= least) & (F.col("c") < tree.often)).select("token")
-    if some.count() > MIDDLE:
-        return None
-
-    def run(batches):
-        for batch in batches:
-            yield {"hash": [_hash(x) for x in batch.column("token").to_pylist()]}
-
-    return np.sort(_columns(arrow_map(some, run, "hash long"))["hash"])
-
-
-def _open_places(model: Tree, batch, depth: int, middle: np.ndarray | None) -> list[np.ndarray]:
-    """The columns of _PLACE for those places of a batch that have a context of at most depth tokens beyond the tree's, none of
-    them a token outside H and middle."""
+def _open_places(model: Tree, batch, depth: int) -> list[np.ndarray]:
+    """The columns of _PLACE for those places of a batch that have a context of at most depth tokens beyond the tree's, of
+    tokens of H and middle."""
     ids, starts = _sequence(batch)
     sizes = np.diff(np.append(starts, len(ids)))
     # tokens as they are told apart: numbers of H, hashes of others
@@ -425,8 +439,8 @@ def _open_places(model: Tree, batch, depth: int, middle: np.ndarray | None) -> l
     others = ids == model.size
     others[starts + sizes - 1] = False
     far = batch.column("far").flatten().to_numpy(zero_copy_only=False)
-    if middle is not None:
-        far = np.where(np.append(middle, 0)[np.searchsorted(middle, far)] == far, far, _RARE)
+    if model.middle is not None:
+        far = np.where(model.in_middle(far)[1], far, _RARE)
     exact[others] = far
     token = model.before(exact, starts, depth, end)
 
@@ -507,7 +521,7 @@ def _numbers(spark, parts: int) -> np.ndarray:
     return out
 
 
-def rarer(rows: DataFrame, tree: Tree, tokens: DataFrame, least: int = LEAST, divergence: float = DIVERGENCE, kappa: float = KAPPA, depth: int = DEPTH, at_once: int = AT_ONCE) -> DataFrame | None:
+def rarer(rows: DataFrame, tree: Tree, least: int = LEAST, divergence: float = DIVERGENCE, kappa: float = KAPPA, depth: int = DEPTH, at_once: int = AT_ONCE) -> DataFrame | None:
     """Stored (row, delta): what the contexts that occur least times, but not often enough for the tree, add to the scores.
 
     Places are dealt by the shortest context beyond the tree's, so that all of a context meet. Only those are not whose context
@@ -517,14 +531,13 @@ def rarer(rows: DataFrame, tree: Tree, tokens: DataFrame, least: int = LEAST, di
         return None
     spark = rows.sparkSession
     shared = _shared(rows, tree.without_words())
-    middle = spark.sparkContext.broadcast(pickle.dumps(_often_enough(tokens, tree, least)))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(1.2 * tree.total / at_once))
     texts = int(tree.counts[tree.end]) if tree.end < tree.size else 1
     back = max(12, math.ceil(texts / TEXTS_AT_ONCE))
     numbers, back_numbers = _numbers(spark, parts), _numbers(spark, back)
 
     def deal(batches):
-        model, often = pickle.loads(shared.value), pickle.loads(middle.value)
+        model = pickle.loads(shared.value)
         held, size = [], 0
 
         def out():
@@ -535,7 +548,7 @@ def rarer(rows: DataFrame, tree: Tree, tokens: DataFrame, least: int = LEAST, di
 
         for batch in batches:
             if batch.num_rows:
-                held.append(_open_places(model, batch, depth, often))
+                held.append(_open_places(model, batch, depth))
                 size += len(held[-1][0])
                 if size >= 2 * FLUSH:
                     yield out()
@@ -619,4 +632,4 @@ def score_all(docs: DataFrame) -> DataFrame:
     tree, tokens = vocabulary(docs.where(~held_out(7, 2)))
     rows = coded(docs, tree)
     grow(tree, rows.where(~F.col("held_out")))
-    return scored(rows, tree, tokens, rarer(rows, tree, tokens))
+    return scored(rows, tree, tokens, rarer(rows, tree))

@@ -205,14 +205,18 @@ def test_contexts_too_rare_for_the_tree_are_learned_too(spark, monkeypatch, dept
     total = sum(len(lm.words(t)) + 1 for t in training)
     want, rare = naive_with_rarer(training, texts, 150, 8, depth, 0.02, 4.0)
     assert {len(c) for c in rare} == set(range(1, depth + 1))
+    # with and without the tokens that may be in contexts
+    monkeypatch.setattr(lm, "MIDDLE", 0 if depth == 2 else lm.MIDDLE)
     tree, tokens = lm.vocabulary(df.where(~lm.held_out(7, 2)), p_min=150 / total, least=8)
+    assert (tree.middle is None) == (depth == 2)
     rows = lm.coded(df, tree)
     lm.grow(tree, rows.where("not held_out"), entry_min=0.0, divergence=0.02, depth=depth)
     assert len(tree.parent)
-    # with and without the tokens that may be in contexts
-    monkeypatch.setattr(lm, "MIDDLE", 0 if depth == 2 else lm.MIDDLE)
-    more = lm.rarer(rows, tree, tokens, least=8, divergence=0.02, depth=depth, at_once=500)
-    got = {r.doc_id: r.score for r in lm.scored(rows, tree, tokens, more).collect()}
+    more = lm.rarer(rows, tree, least=8, divergence=0.02, depth=depth, at_once=500)
+    out = lm.scored(rows, tree, tokens, more).collect()
+    got = {r.doc_id: r.score for r in out}
+    base = {x[0]: x for x in brute_base(list(enumerate(texts)))}
+    assert all(r.n_known == base[r.doc_id][3] and r.base_score == pytest.approx(base[r.doc_id][5], abs=1e-6) for r in out)
     alone = {r.doc_id: r.score for r in lm.scored(rows, tree, tokens).collect()}
     assert all(got[i] == pytest.approx(x, abs=1e-6) for i, x in enumerate(want))
     assert sum(abs(got[i] - alone[i]) > 1e-3 for i in got) > len(got) // 2
