@@ -83,15 +83,15 @@ def clear(spark: SparkSession) -> None:
         _delete(spark, _written.pop())
 
 
-def sliced(batches):
-    """The batches in slices of BATCH_ROWS rows and BATCH_BYTES bytes at most, without copying; a longer row is a slice."""
+def sliced(batches, most: int = BATCH_BYTES):
+    """The batches in slices of BATCH_ROWS rows and so many bytes at most, without copying; a longer row is a slice."""
     for batch in batches:
         if not batch.num_rows:
             yield batch
         todo = [batch.slice(a, BATCH_ROWS) for a in range(0, batch.num_rows, BATCH_ROWS)][::-1]
         while todo:
             part = todo.pop()
-            if part.num_rows > 1 and part.nbytes > BATCH_BYTES:
+            if part.num_rows > 1 and part.nbytes > most:
                 half = part.num_rows // 2
                 todo += (part.slice(half), part.slice(0, half))
             else:

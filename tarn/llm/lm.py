@@ -36,7 +36,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, drop
+from .common import arrow_map, cut, drop, sliced
 from .language import held_out
 
 LEAST = 16
@@ -49,6 +49,11 @@ DIVERGENCE = 0.01
 KAPPA = 4.0
 #: No word holds a space.
 END = b" "
+#: Bytes of coded texts whose places are looked at together: each place takes some 200 bytes meanwhile.
+PIECE = 1 << 19
+#: Places that a task gathers before it hands them on, and bytes of them, packed, that go together.
+HELD = 1_250_000
+OUT_BYTES = 4 << 20
 #: Places of rarer contexts that a task learns from, and texts whose changes it sums, at once.
 AT_ONCE = 1_000_000
 TEXTS_AT_ONCE = 30_000
@@ -276,7 +281,7 @@ def _followers(rows: DataFrame, tree: Tree, depth: int) -> DataFrame:
             held.clear()
             return {"context": code // (model.size + 1), "token": code % (model.size + 1), "c": c}
 
-        for batch in batches:
+        for batch in sliced(batches, PIECE):
             if not batch.num_rows:
                 continue
             ids, starts = _sequence(batch)
@@ -397,28 +402,44 @@ def _packed(columns: list[np.ndarray], kinds) -> bytes:
 
 
 def _unpacked(blobs: list[bytes], kinds) -> list[np.ndarray]:
-    parts = []
-    sizes = [np.dtype(t).itemsize for t in kinds]
-    for blob in blobs:
-        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-        n, at, out = len(raw) // sum(sizes), 0, []
-        for t, size in zip(kinds, sizes, strict=True):
-            x = np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(t).ravel()
-            out.append(np.cumsum(x) if t is np.int64 else x)
+    """The columns of all blobs, which are let go one by one."""
+    width = sum(np.dtype(t).itemsize for t in kinds)
+    sizes = [zstandard.frame_content_size(x) // width for x in blobs]
+    columns = [np.empty(sum(sizes), t) for t in kinds]
+    a = 0
+    blobs.reverse()
+    for n in sizes:
+        raw, at = np.frombuffer(zstandard.ZstdDecompressor().decompress(blobs.pop()), np.uint8), 0
+        for x in columns:
+            size = x.dtype.itemsize
+            part = np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(x.dtype).ravel()
+            x[a : a + n] = np.cumsum(part) if x.dtype == np.int64 else part
             at += n * size
-        parts.append(out)
-    return [np.concatenate(x) for x in zip(*parts, strict=True)]
+        a += n
+    return columns
+
 
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Which of parts parts each is dealt to, by 64-bit hashes, in as few bytes as hold it: short numbers are sorted by their digits."""
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.uint32)
 
-def _split(columns: list[np.ndarray], hashes: np.ndarray, parts: int, kinds) -> tuple[np.ndarray, list[bytes]]:
-    """Which of parts parts there are, by 64-bit hashes, and their rows packed."""
-    part = (hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-    # short numbers are sorted by their digits
-    order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.uint32), kind="stable")
-    part = part[order]
-    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-    columns = [x[order] for x in columns]
-    return part[first].astype(np.int64), [_packed([x[a:z] for x in columns], kinds) for a, z in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True)]
+
+def _split(part: np.ndarray, columns: list[np.ndarray], kinds):
+    """Lists of parts that there are, and of their rows packed, by the first column, OUT_BYTES or little more at a time; no
+    column is there twice."""
+    order = np.lexsort((columns[0], part))
+    sizes = np.bincount(part)
+    numbers, blobs, size, a = [], [], 0, 0
+    for k in np.flatnonzero(sizes).tolist():
+        at = order[a : a + sizes[k]]
+        numbers.append(k)
+        blobs.append(_packed([x[at] for x in columns], kinds))
+        a, size = a + len(at), size + len(blobs[-1])
+        if size >= OUT_BYTES:
+            yield numbers, blobs
+            numbers, blobs, size = [], [], 0
+    if blobs:
+        yield numbers, blobs
 
 
 def _context(found: np.ndarray, number: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -473,8 +494,12 @@ def _open_places(model: Tree, batch, depth: int) -> list[np.ndarray]:
 
 
 def _learned(model: Tree, places: list[np.ndarray], least: int, divergence: float, kappa: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, by how much its log10 p changes) of places whose state is one of the contexts that these places, all of theirs, give."""
+    """(row, by how much its log10 p changes) of places whose state is one of the contexts that these places, all of theirs, give.
+
+    places is emptied.
+    """
     found, number, low, high, second, third, token, row, train = places
+    places.clear()
     before, own = np.full(len(row), -1), None
     for d, states in enumerate(model.states, 1):
         # the longest retained suffix of each candidate
@@ -482,6 +507,7 @@ def _learned(model: Tree, places: list[np.ndarray], least: int, divergence: floa
         on = found == d
         before[on] = own[number[on]]
     _, group = np.unique(_context(found, number, low, high), return_inverse=True)
+    del found, number, low, high
     at = np.arange(len(row))
     now, token = before.copy(), token.astype(np.int64)
     for following in (second, third, None):
@@ -538,23 +564,27 @@ def rarer(rows: DataFrame, tree: Tree, least: int = LEAST, divergence: float = D
 
     def deal(batches):
         model = pickle.loads(shared.value)
-        held, size = [], 0
+        kinds = (np.uint16 if parts <= 1 << 16 else np.uint32, *_PLACE)
+        held, size = [np.empty(0, t) for t in kinds], 0
 
         def out():
-            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
-            held.clear()
-            part, blobs = _split(columns, _context(*columns[:4]), parts, _PLACE)
-            return {"part": numbers[part], "places": blobs}
+            for part, blobs in _split(held[0][:size], [x[:size] for x in held[1:]], _PLACE):
+                yield {"part": numbers[part], "places": blobs}
 
-        for batch in batches:
-            if batch.num_rows:
-                held.append(_open_places(model, batch, depth))
-                size += len(held[-1][0])
-                if size >= 2 * FLUSH:
-                    yield out()
-                    size = 0
-        if size:
-            yield out()
+        for batch in sliced(batches, PIECE):
+            if not batch.num_rows:
+                continue
+            columns = _open_places(model, batch, depth)
+            n = len(columns[0])
+            if size + n > len(held[0]):
+                yield from out()
+                size = 0
+                if n > len(held[0]):
+                    held = [np.empty(max(n, HELD), t) for t in kinds]
+            for x, y in zip(held, (_part(_context(*columns[:4]), parts), *columns), strict=True):
+                x[size : size + n] = y
+            size += n
+        yield from out()
 
     def learn(batches):
         held = [x for batch in batches for x in batch.column("places").to_pylist()]
@@ -562,8 +592,8 @@ def rarer(rows: DataFrame, tree: Tree, least: int = LEAST, divergence: float = D
             row, delta = _learned(pickle.loads(shared.value), _unpacked(held, _PLACE), least, divergence, kappa)
             if len(row):
                 found, place = np.unique(row, return_inverse=True)
-                part, blobs = _split([found, np.bincount(place, weights=delta)], _mix(found.astype(np.uint64)), back, _CHANGE)
-                yield {"part": back_numbers[part], "changes": blobs}
+                for part, blobs in _split(_part(_mix(found.astype(np.uint64)), back), [found, np.bincount(place, weights=delta)], _CHANGE):
+                    yield {"part": back_numbers[part], "changes": blobs}
 
     def summed(batches):
         held = [x for batch in batches for x in batch.column("changes").to_pylist()]
@@ -589,7 +619,7 @@ def scored(rows: DataFrame, tree: Tree, tokens: DataFrame, more: DataFrame | Non
     def run(batches):
         model = pickle.loads(shared.value)
         log_root = np.log10(model.root) if model.size else np.zeros(0)
-        for batch in batches:
+        for batch in sliced(batches, PIECE):
             if not batch.num_rows:
                 continue
             ids, starts = _sequence(batch)

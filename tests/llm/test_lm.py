@@ -220,3 +220,31 @@ def test_contexts_too_rare_for_the_tree_are_learned_too(spark, monkeypatch, dept
     alone = {r.doc_id: r.score for r in lm.scored(rows, tree, tokens).collect()}
     assert all(got[i] == pytest.approx(x, abs=1e-6) for i, x in enumerate(want))
     assert sum(abs(got[i] - alone[i]) > 1e-3 for i in got) > len(got) // 2
+
+
+def test_dealing_takes_little_memory(spark, monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    text = " ".join("a b c d e f g h".split() * 40 + ["r%d" % (i % 40) for i in range(400)])
+    df = spark.createDataFrame([(1, text, "en"), (2, text, "en")], SCHEMA)
+    tree, _ = lm.vocabulary(df, p_min=0.02, least=8)
+    rows, passes, real = lm.coded(df, tree), [], lm.arrow_map
+    monkeypatch.setattr(lm, "arrow_map", lambda df, fn, schema: (passes.append(fn), real(df, fn, schema))[1])
+    lm.rarer(rows, tree, least=8, at_once=50)
+    deal, *_ = passes
+    n, size = 2000, 1500
+    # nearly every place has a context beyond the tree, which is a root only
+    ids = np.random.default_rng(1).integers(0, tree.size, n * size).astype(np.int32)
+    far = np.zeros(0, np.int64)
+    lists = [pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * size, ids), pa.ListArray.from_arrays(np.zeros(n + 1, np.int32), far)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([False] * n), *lists], names=["row", "held_out", "ids", "far"])
+    tracemalloc.start()
+    try:
+        places = sum(len(x) for out in deal(iter([batch])) for x in out["places"])
+        dealt = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert places and dealt < 150, dealt
