@@ -85,6 +85,40 @@ def token_counts(training: DataFrame) -> DataFrame:
     return arrow_map(training.select("text"), run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+class Lookup:
+    """Where numbers stand in a list of distinct ones, by a table of their hashes: a look or two, where a search by halves takes
+    twenty in places that are far apart."""
+
+    def __init__(self, codes: np.ndarray):
+        self.shift = np.uint64(64 - max(4, (2 * len(codes)).bit_length()))
+        slot = self._slot(codes)
+        order = np.argsort(slot)
+        self.codes, self.index = codes[order], order.astype(np.int32)
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(slot, minlength=1 << (64 - int(self.shift)))))).astype(np.int32)
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return (codes.astype(np.int64, copy=False).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of codes are there, ascending, and where."""
+        slot = self._slot(codes)
+        a, z = self.first[slot], self.first[slot + 1]
+        live = np.flatnonzero(a < z)
+        a, z, code = a[live], z[live], codes[live]
+        which, where = [], []
+        while len(live):
+            hit = self.codes[a] == code
+            which.append(live[hit])
+            where.append(self.index[a[hit]])
+            on = np.flatnonzero(~hit & (a + 1 < z))
+            live, a, z, code = live[on], a[on] + 1, z[on], code[on]
+        if len(which) < 2:
+            return (which[0], where[0]) if which else (live, live)
+        which, where = np.concatenate(which), np.concatenate(where)
+        order = np.argsort(which, kind="stable")
+        return which[order], where[order]
+
+
 class Tree:
     """Root, states, and their followers."""
 
@@ -108,6 +142,9 @@ class Tree:
         #: sorted hashes of the tokens outside H that may stand in contexts, and log10 of the root's p of each; None: not known
         self.middle: np.ndarray | None = None
         self.middle_p = np.zeros(0)
+        #: of codes and entry_codes, on workers (see _model)
+        self.lookups: list[Lookup] = []
+        self.entry_lookup: Lookup | None = None
 
     def without_words(self) -> Tree:
         """For passes over coded texts."""
@@ -139,6 +176,12 @@ class Tree:
         codes = self.codes[d - 1]
         if not len(codes):
             return np.full(len(number), -1)
+        if self.lookups:
+            out = np.full(len(number), -1)
+            at = np.flatnonzero((number >= 0) & (token < self.size))
+            which, where = self.lookups[d - 1].find(number[at] * (self.size + 1) + token[at])
+            out[at[which]] = where
+            return out
         code = number * (self.size + 1) + token
         k = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
         return np.where((number >= 0) & (token < self.size) & (codes[k] == code), k, -1)
@@ -160,9 +203,14 @@ class Tree:
             if not len(live):
                 break
             code = at[live] * (self.size + 1) + token[live]
-            k = np.minimum(np.searchsorted(self.entry_codes, code), len(self.entry_codes) - 1)
-            hit = self.entry_codes[k] == code if len(self.entry_codes) else np.zeros(len(code), bool)
-            out[live] += np.where(hit, scale[live] * self.entry_p[k], 0.0) if len(self.entry_codes) else 0.0
+            if self.entry_lookup is not None:
+                which, k = self.entry_lookup.find(code)
+                which = live[which]
+            else:
+                k = np.minimum(np.searchsorted(self.entry_codes, code), len(self.entry_codes) - 1)
+                hit = self.entry_codes[k] == code if len(self.entry_codes) else np.zeros(len(code), bool)
+                which, k = live[hit], k[hit]
+            out[which] += scale[which] * self.entry_p[k]
             scale[live] *= self.left[at[live]]
             at[live] = self.parent[at[live]]
         return out + scale * self.root[token]
@@ -218,6 +266,17 @@ def _shared(df: DataFrame, tree: Tree):
     return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(tree))
 
 
+def _model(shared, entries: bool = False) -> Tree:
+    """The tree of a broadcast, with lookups of its candidates and, if asked for, of its entries. The broadcast, which a worker
+    keeps for its next tasks, holds it in place of the bytes."""
+    if not hasattr(shared, "tree"):
+        shared.tree = pickle.loads(shared.value)
+        shared.tree.lookups = [Lookup(x) for x in shared.tree.codes]
+        shared.tree.entry_lookup = Lookup(shared.tree.entry_codes) if entries else None
+        shared.__dict__.pop("_value", None)
+    return shared.tree
+
+
 def _hash(token: bytes) -> int:
     """A signed 64-bit hash, below zero, which no number of a token of H is."""
     return -1 - (xxhash.xxh64_intdigest(token) >> 1)
@@ -273,7 +332,7 @@ def _followers(rows: DataFrame, tree: Tree, depth: int) -> DataFrame:
     shared = _shared(rows, tree.without_words())
 
     def run(batches):
-        model = pickle.loads(shared.value)
+        model = _model(shared)
         held, size = [], 0
 
         def out():
@@ -563,7 +622,7 @@ def rarer(rows: DataFrame, tree: Tree, least: int = LEAST, divergence: float = D
     numbers, back_numbers = _numbers(spark, parts), _numbers(spark, back)
 
     def deal(batches):
-        model = pickle.loads(shared.value)
+        model = _model(shared)
         kinds = (np.uint16 if parts <= 1 << 16 else np.uint32, *_PLACE)
         held, size = [np.empty(0, t) for t in kinds], 0
 
@@ -589,7 +648,7 @@ def rarer(rows: DataFrame, tree: Tree, least: int = LEAST, divergence: float = D
     def learn(batches):
         held = [x for batch in batches for x in batch.column("places").to_pylist()]
         if held:
-            row, delta = _learned(pickle.loads(shared.value), _unpacked(held, _PLACE), least, divergence, kappa)
+            row, delta = _learned(copy.copy(_model(shared)), _unpacked(held, _PLACE), least, divergence, kappa)
             if len(row):
                 found, place = np.unique(row, return_inverse=True)
                 for part, blobs in _split(_part(_mix(found.astype(np.uint64)), back), [found, np.bincount(place, weights=delta)], _CHANGE):
@@ -617,7 +676,7 @@ def scored(rows: DataFrame, tree: Tree, tokens: DataFrame, more: DataFrame | Non
     shared = _shared(rows, tree.without_words())
 
     def run(batches):
-        model = pickle.loads(shared.value)
+        model = _model(shared, True)
         log_root = np.log10(model.root) if model.size else np.zeros(0)
         for batch in sliced(batches, PIECE):
             if not batch.num_rows:

@@ -248,3 +248,16 @@ def test_dealing_takes_little_memory(spark, monkeypatch):
     finally:
         tracemalloc.stop()
     assert places and dealt < 150, dealt
+
+
+def test_lookups_find_every_number(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 3000):
+        codes = np.unique(rng.integers(0, 1 << 40, n) * (1 << 20 if n == 5 else 1))
+        asked = np.concatenate((rng.permutation(codes), codes + 1, [-1, 0]))
+        where = {c: i for i, c in enumerate(codes.tolist())}
+        which, found = lm.Lookup(codes).find(asked)
+        assert which.tolist() == [i for i, c in enumerate(asked.tolist()) if c in where]
+        assert found.tolist() == [where[c] for c in asked.tolist() if c in where]
